@@ -24,7 +24,7 @@ WEIGHT = "weight"
 
 # The learners' settings
 FOREST = {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 5}
-BOOSTING = {"maxIter": 150, "maxDepth": 4, "stepSize": 0.08}
+BOOSTING = {"maxIter": 150, "maxDepth": 4, "stepSize": 0.08, "checkpointInterval": 10}
 LOGISTIC = {"C": 0.5, "maxIter": 1000}
 MODELS = ["RandomForest", "GradientBoosting", "LogisticRegression"]
 
@@ -112,8 +112,7 @@ def estimators(features: Sequence[str], train_rows: int, settings: Mapping[str,
 
     forest = RandomForestClassifier(labelCol="label", weightCol=WEIGHT, seed=seed,
                                     **take("RandomForest", FOREST))
-    boosting = GBTClassifier(labelCol="label", seed=seed, checkpointInterval=10,
-                             **take("GradientBoosting", BOOSTING))
+    boosting = GBTClassifier(labelCol="label", seed=seed, **take("GradientBoosting", BOOSTING))
     logistic = take("LogisticRegression", LOGISTIC)
     # the balanced weights sum to the number of rows, so this is the same penalty per row as C
     penalty = 1.0 / (logistic.pop("C") * train_rows)
@@ -130,6 +129,8 @@ def estimators(features: Sequence[str], train_rows: int, settings: Mapping[str,
 def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str] = MODELS,
                settings: Mapping[str, Mapping[str, Any]] | None = None, seed: int = SEED) -> dict[str, PipelineModel]:
     """Fit the named learners on one cached, weighted training set."""
+    if not models:
+        return {}
     checkpointing(train.sparkSession)
     weighted = balanced_weights(train).persist()
     try:

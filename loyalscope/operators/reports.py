@@ -93,8 +93,10 @@ def loss_by(df: DataFrame, dim: str, amount: str = "MonthlyCharges", label: str
 
 def with_share(grouped: DataFrame, amount: str, out: str = "share_pct", digits: int = 1) -> DataFrame:
     """Each group's percent of the total over all groups."""
-    total = grouped.agg(F.sum(amount)).scalar()
-    return grouped.withColumn(out, rate(F.col(amount), total, digits))
+    # the digest touches every column, so the total's plan equals the groups' and shares their scan and shuffle
+    digest = F.bit_xor(F.xxhash64(*[F.col(c) for c in grouped.columns]))
+    total = grouped.agg(F.struct(F.sum(amount).alias("total"), digest)).scalar()
+    return grouped.withColumn(out, rate(F.col(amount), total["total"], digits))
 
 
 def value_counts(df: DataFrame, col: str, normalise: bool = False, digits: int = 1) -> DataFrame:

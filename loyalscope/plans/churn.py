@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loyalscope import schema
 from loyalscope.functions import binary_code, flag, revenue_category
 from loyalscope.operators import cleaning, evaluation, features, learning, offers, quality
+from loyalscope.session import written
 from loyalscope.sources import artifacts, files, tables
 
 
@@ -73,19 +74,26 @@ class Training:
         return self.models[self.best]
 
 
-def train(prepared_from: DataFrame, models=tuple(learning.MODELS), settings: dict | None = None,
-          seed: int = learning.SEED) -> Training:
-    """Prepare, split, fit, evaluate and choose. The prepared rows are cached for all of it."""
-    prepared = learning.prepare(prepared_from)
-    rows = prepared.rows.persist()
+def train(rows: DataFrame, models=tuple(learning.MODELS), settings: dict | None = None,
+          seed: int = learning.SEED, fitted: dict[str, PipelineModel] | None = None) -> Training:
+    """Prepare, split, fit, evaluate and choose; models already ``fitted`` on the same rows are taken as they are.
+
+    The prepared rows are cached for all of it, and the held-out scores are written once, because
+    the metrics read them three times.
+    """
+    prepared = learning.prepare(rows)
+    known = prepared.rows.persist()
     try:
-        training, test = learning.stratified_split(rows, seed=seed)
-        fitted = learning.fit_models(training, prepared.features, models, settings, seed)
-        metrics = evaluation.evaluate(learning.predictions(fitted, test)).persist()
-        best = evaluation.select_best(metrics, models).first()["model"]
+        training, test = learning.stratified_split(known, seed=seed)
+        missing = [m for m in models if m not in (fitted or {})]
+        every = {**(fitted or {}), **learning.fit_models(training, prepared.features, missing, settings, seed)}
+        every = {m: every[m] for m in models}
+        scores = written(learning.predictions(every, test), "held-out")
     finally:
-        rows.unpersist()
-    return Training(fitted, metrics, best, learning.importance(fitted[best], rows.sparkSession))
+        known.unpersist()
+    metrics = written(evaluation.evaluate(scores), "metrics")
+    best = evaluation.select_best(metrics, models).first()["model"]
+    return Training(every, metrics, best, learning.importance(every[best], rows.sparkSession))
 
 
 def score_profiles(profiles: DataFrame, model: PipelineModel) -> DataFrame:

@@ -51,12 +51,18 @@ def checkpointing(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_folder(spark))
 
 
+def written(table: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table to the shared folder and go on from there: later steps need not compute it again,
+    not even when an executor is lost."""
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def measured(table: DataFrame) -> DataFrame:
-    """Materialise a per-group table before it is joined back to the rows it came from.
+    """Write a per-group table that will be joined back to the rows it came from.
 
-    Once cached, its true size is known to the planner, which broadcasts it below
+    Read from files its true size is known, so the planner broadcasts it below
     spark.sql.autoBroadcastJoinThreshold and shuffles (with AQE skew splitting) above it.
     """
-    table = table.persist()
-    table.count()
-    return table
+    return written(table, "measured")
