@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loyalscope.catalogue.base import RISK_SQL, cleaned, offer_sql, offered, query, scored
 from loyalscope.functions import risk_band
-from loyalscope.operators import offers, reports
+from loyalscope.operators import offers, reports, segments
 from loyalscope.sources.subscribers import stand_in_score
 
 _LEFT = "CASE WHEN score >= 0.65 THEN 'High' WHEN score >= 0.35 THEN 'Medium' ELSE 'Low' END"
@@ -55,5 +55,4 @@ def offer_distribution(spark, sf_dir):
 @query("r3_offers_among_at_risk", """SELECT OfferTitle, count(*) AS count FROM offered
     WHERE ChurnRisk IN ('High', 'Medium') AND ChurnProbability >= 0.5 GROUP BY OfferTitle""")
 def offers_among_at_risk(spark, sf_dir):
-    from loyalscope.operators.segments import at_risk
-    return reports.value_counts(at_risk(offered(spark, sf_dir)), "OfferTitle")
+    return reports.value_counts(segments.at_risk(offered(spark, sf_dir)), "OfferTitle")

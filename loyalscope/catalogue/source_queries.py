@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loyalscope import schema
 from loyalscope.catalogue.base import cleaned, offered, query, raw
-from loyalscope.operators import segments
+from loyalscope.operators import cleaning, segments
 from loyalscope.plans import churn
 from loyalscope.session import scratch_path
 from loyalscope.sources import files, tables
@@ -57,14 +57,14 @@ def table_replace(spark, sf_dir):
     return rows.withColumn("TotalCharges", F.round("TotalCharges", 4))
 
 
-@query("s6_table_definitions", "SELECT * FROM sub WHERE false")
+@query("s6_table_definitions", "SELECT * REPLACE (round(TotalCharges, 4) AS TotalCharges) FROM num")
 def table_definitions(spark, sf_dir):
-    """A defined table holds no rows until it is loaded, and defining it again changes nothing."""
+    """Rows go into a defined table by its column types, and defining it again leaves them there."""
     prefix, folder = f"t{uuid.uuid4().hex[:8]}_", scratch_path(spark, "tables")
     tables.create_tables(spark, prefix, folder)
+    cleaning.coerce_number(raw(spark, sf_dir), "TotalCharges").write.insertInto(prefix + schema.RAW_TABLE)
     tables.create_tables(spark, prefix, folder)
-    empty = spark.table(prefix + schema.RAW_TABLE)
-    return empty.withColumn("TotalCharges", F.col("TotalCharges").cast("string"))
+    return spark.table(prefix + schema.RAW_TABLE).withColumn("TotalCharges", F.round("TotalCharges", 4))
 
 
 @query("s7_table_read", "SELECT * FROM sub")
