@@ -63,17 +63,14 @@ def label_correlations(spark, sf_dir):
 
 
 def histogram_sql(source: str, col: str, bins: int, by: str | None = None) -> str:
-    group = f"{by}, " if by else ""
-    same = f"v.{by} = g.{by} AND" if by else ""
-    width = f"((high - low) / {bins})"
-    return f"""SELECT {"g." + group if by else ""}g.bin, low + {width} * g.bin AS bin_start, low + {width} * (g.bin + 1) AS bin_end,
-        count(v.bin) AS count
-        FROM (SELECT *, CAST(unnest(range({bins})) AS INT) AS bin FROM (SELECT {group}min({col}) AS low, max({col}) AS high
-            FROM {source} WHERE {col} IS NOT NULL {"GROUP BY " + by if by else ""})) g
-        LEFT JOIN (SELECT {group}CAST(least({bins - 1}, floor((x - low) * {bins} / (high - low))) AS INT) AS bin FROM (
-            SELECT {group}{col} AS x, min({col}) OVER ({"PARTITION BY " + by if by else ""}) AS low,
-                max({col}) OVER ({"PARTITION BY " + by if by else ""}) AS high FROM {source} WHERE {col} IS NOT NULL)) v
-        ON {same} v.bin = g.bin GROUP BY {"g." + group if by else ""}g.bin, low, high"""
+    group, same = (f"{by}, ", f"v.{by} = g.{by} AND") if by else ("", "")
+    edge = lambda b: f"CASE WHEN {b} = {bins} THEN high ELSE low + (high - low) / {bins} * ({b}) END"
+    return f"""SELECT {"g." + group if by else ""}g.bin, bin_start, bin_end, count(v.{col}) AS count
+        FROM (SELECT {group}bin, {edge("bin")} AS bin_start, {edge("bin + 1")} AS bin_end FROM (
+            SELECT *, CAST(unnest(range({bins})) AS INT) AS bin FROM (SELECT {group}min({col}) AS low, max({col}) AS high
+            FROM {source} {"GROUP BY " + by if by else ""}))) g
+        LEFT JOIN {source} v ON {same} v.{col} >= bin_start AND (v.{col} < bin_end OR (g.bin = {bins - 1} AND v.{col} = bin_end))
+        GROUP BY {"g." + group if by else ""}g.bin, bin_start, bin_end"""
 
 
 @query("a12_histogram_totals", histogram_sql("num", "TotalCharges", 40))
@@ -92,8 +89,8 @@ def box_sql(source: str, col: str, by: str, digits: int = 4) -> str:
         {r('whisker_low', 'whisker_low')}, {r('whisker_high', 'whisker_high')}, outliers,
         {r('q50 - 1.57 * (q75 - q25) / sqrt(n)', 'notch_low')}, {r('q50 + 1.57 * (q75 - q25) / sqrt(n)', 'notch_high')}
         FROM (SELECT {by}, q25, q50, q75, count(*) AS n,
-            min(x) FILTER (WHERE x BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25)) AS whisker_low,
-            max(x) FILTER (WHERE x BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25)) AS whisker_high,
+            least(q25, min(x) FILTER (WHERE x BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25))) AS whisker_low,
+            greatest(q75, max(x) FILTER (WHERE x BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25))) AS whisker_high,
             count(*) FILTER (WHERE NOT x BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25)) AS outliers
             FROM (SELECT {by}, {col} AS x FROM {source}) JOIN (SELECT {by}, quantile_cont({col}, 0.25) AS q25,
                 quantile_cont({col}, 0.5) AS q50, quantile_cont({col}, 0.75) AS q75 FROM {source} GROUP BY {by}) USING ({by})

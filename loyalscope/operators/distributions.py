@@ -67,6 +67,12 @@ def with_group_stats(df: DataFrame, by: Sequence[str], stats: DataFrame) -> Data
     return df.join(side, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]).drop(*[f"_{c}" for c in by])
 
 
+def _edge(bin_: Column, bins: int) -> Column:
+    """Lower edge of a bin between the columns low and high; the upper edge of the last one is high itself."""
+    inner = F.col("low") + (F.col("high") - F.col("low")) / bins * bin_
+    return F.when(bin_ == bins, F.col("high")).otherwise(inner)
+
+
 def _binned(df: DataFrame, col: str, bins: int, by: Sequence[str]) -> DataFrame:
     """Non-empty bins with the group's own limits: (by..., low, high, bin, count)."""
     values = df.select(*by, _value(col).alias("value")).where(F.col("value").isNotNull())
@@ -80,9 +86,13 @@ def _binned(df: DataFrame, col: str, bins: int, by: Sequence[str]) -> DataFrame:
     flat = F.col("low") == F.col("high")
     placed = placed.select(*by, "value", (F.col("low") - F.when(flat, 0.5).otherwise(0.0)).alias("low"),
                            (F.col("high") + F.when(flat, 0.5).otherwise(0.0)).alias("high"))
+    # the quotient may miss by one at an edge, so it is checked against the edges that are reported
     spot = F.floor((F.col("value") - F.col("low")) * bins / (F.col("high") - F.col("low")))
+    near = placed.withColumn("near", F.least(F.lit(bins - 1), spot).cast("int"))
+    miss = F.when(F.col("value") < _edge(F.col("near"), bins), -1).when(
+        (F.col("value") >= _edge(F.col("near") + 1, bins)) & (F.col("near") < bins - 1), 1).otherwise(0)
     return (
-        placed.withColumn("bin", F.least(F.lit(bins - 1), spot).cast("int"))
+        near.withColumn("bin", F.col("near") + miss)
         .groupBy(*by, "low", "high", "bin").agg(F.count("*").alias("count"))
     )
 
@@ -92,17 +102,18 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
     by = list(by)
     filled = _binned(df, col, bins, by).groupBy(*by, "low", "high").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("counts"))  # at most `bins` entries
-    width = (F.col("high") - F.col("low")) / bins
     return (
         filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-        .select(*by, "bin", (F.col("low") + width * F.col("bin")).alias("bin_start"),
-                (F.col("low") + width * (F.col("bin") + 1)).alias("bin_end"),
+        .select(*by, "bin", _edge(F.col("bin"), bins).alias("bin_start"), _edge(F.col("bin") + 1, bins).alias("bin_end"),
                 F.coalesce(F.col("counts")[F.col("bin")], F.lit(0)).alias("count"))
     )
 
 
 def box_stats(df: DataFrame, col: str, by: Sequence[str], approx: bool = False) -> DataFrame:
-    """Quartiles, 1.5 IQR whiskers, outlier count and the notch around the median, per group."""
+    """Quartiles, 1.5 IQR whiskers, outlier count and the notch around the median, per group.
+
+    A whisker ends at the last value within the fence, but never inside the box.
+    """
     by = list(by)
     values = df.select(*by, _value(col).alias("value")).where(F.col("value").isNotNull())
     marks = quantiles(values, ["value"], [0.25, 0.5, 0.75], by, approx).drop("feature")
@@ -111,8 +122,8 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str], approx: bool = False)
     inner = F.col("value").between(F.col("q25") - 1.5 * iqr, F.col("q75") + 1.5 * iqr)
     stats = placed.groupBy(*by, "q25", "q50", "q75").agg(
         F.count("*").alias("n"),
-        F.min(F.when(inner, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inner, F.col("value"))).alias("whisker_high"),
+        F.least("q25", F.min(F.when(inner, F.col("value")))).alias("whisker_low"),
+        F.greatest("q75", F.max(F.when(inner, F.col("value")))).alias("whisker_high"),
         F.count_if(~inner).alias("outliers"))
     notch = 1.57 * iqr / F.sqrt(F.col("n").cast("double"))
     return stats.select(*by, "n", "q25", F.col("q50").alias("median"), "q75", "whisker_low", "whisker_high",

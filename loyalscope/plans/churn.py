@@ -78,19 +78,15 @@ def train(rows: DataFrame, models=tuple(learning.MODELS), settings: dict | None
           seed: int = learning.SEED, fitted: dict[str, PipelineModel] | None = None) -> Training:
     """Prepare, split, fit, evaluate and choose; models already ``fitted`` on the same rows are taken as they are.
 
-    The prepared rows are cached for all of it, and the held-out scores are written once, because
-    the metrics read them three times.
+    The prepared rows are written once, because the split reads them several times, and so are the
+    held-out scores, which the metrics read three times.
     """
     prepared = learning.prepare(rows)
-    known = prepared.rows.persist()
-    try:
-        training, test = learning.stratified_split(known, seed=seed)
-        missing = [m for m in models if m not in (fitted or {})]
-        every = {**(fitted or {}), **learning.fit_models(training, prepared.features, missing, settings, seed)}
-        every = {m: every[m] for m in models}
-        scores = written(learning.predictions(every, test), "held-out")
-    finally:
-        known.unpersist()
+    training, test = learning.stratified_split(written(prepared.rows, "prepared"), seed=seed)
+    missing = [m for m in models if m not in (fitted or {})]
+    every = {**(fitted or {}), **learning.fit_models(training, prepared.features, missing, settings, seed)}
+    every = {m: every[m] for m in models}
+    scores = written(learning.predictions(every, test), "held-out")
     metrics = written(evaluation.evaluate(scores), "metrics")
     best = evaluation.select_best(metrics, models).first()["model"]
     return Training(every, metrics, best, learning.importance(every[best], rows.sparkSession))

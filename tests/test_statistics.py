@@ -223,3 +223,44 @@ def test_best_model_prefers_the_first_of_equals(spark):
     df = spark.createDataFrame([("c", 0.8), ("b", 0.9), ("a", 0.9)], "model string, roc_auc double")
     assert evaluation.select_best(df, ["c", "b", "a"]).first()["model"] == "b"
     assert evaluation.select_best(df, ["a", "b", "c"]).first()["model"] == "a"
+
+
+def test_large_group_tables_are_shuffled_with_the_same_result(spark, frame):
+    df = spark.createDataFrame(frame).withColumn("label", (F.col("y") > 0).cast("int")).withColumn("Churn", F.col("label"))
+    trials = {
+        "quantiles": lambda: q.quantiles(df, ["x", "y"], [0.25, 0.5], ["g", "t"]),
+        "box": lambda: distributions.box_stats(df, "x", ["g"]),
+        "histogram": lambda: distributions.histogram(df, "x", 7, ["t"]),
+        "density": lambda: distributions.density(df, "x", ["g"], grid=9),
+        "auc": lambda: evaluation.roc_auc(df, ["t"], score="x"),
+    }
+    collect = lambda run: sorted(map(tuple, run.collect()), key=repr)
+    small = {name: collect(trial()) for name, trial in trials.items()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", before)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, trial in trials.items():
+            run = trial()
+            assert "SortMergeJoin" in run._jdf.queryExecution().executedPlan().toString()
+            for a, b in zip(collect(run), small[name], strict=True):
+                assert a == pytest.approx(b, nan_ok=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive)
+
+
+def test_value_on_a_bin_edge_is_counted_where_the_edges_say(spark):
+    numbers = [i / 10 for i in range(31)]
+    rows = distributions.histogram(spark.createDataFrame([(n,) for n in numbers], "v double"), "v", 30).orderBy("bin").collect()
+    assert [r["count"] for r in rows] == list(np.histogram(numbers, bins=30)[0])
+    for r in rows:
+        inside = [n for n in numbers if r["bin_start"] <= n and (n < r["bin_end"] or r["bin"] == 29)]
+        assert r["count"] == len(inside)
+
+
+def test_whisker_never_ends_inside_the_box(spark):
+    df = spark.createDataFrame([("a", v) for v in (0.0, 0.0, 0.0, 10.0, 100.0)], "g string, v double")
+    row = distributions.box_stats(df, "v", ["g"]).first()
+    assert (row["q25"], row["q75"], row["whisker_low"], row["whisker_high"], row["outliers"]) == (0.0, 10.0, 0.0, 10.0, 1)
