@@ -62,7 +62,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spark, sf_dir, "cleaned", lambda: churn.transform(raw(spark, sf_dir)))
+    return staged(spark, sf_dir, "cleaned", lambda: churn.transform(raw(spark, sf_dir), schema.LEVELS))
 
 
 def scored(spark: SparkSession, sf_dir: str, mirrored: bool = False) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from loyalscope import schema
 from loyalscope.catalogue.base import (
-    TRIAL_MODELS, _state, cleaned, query, raw, trial_predictions)
-from loyalscope.operators import evaluation, learning, offers, reports
+    TRIAL_MODELS, _state, cleaned, query, raw, scored, trial_predictions)
+from loyalscope.operators import distributions, evaluation, learning, offers, reports
 from loyalscope.plans import churn
 from loyalscope.session import scratch_path
 from loyalscope.sources import artifacts
@@ -143,6 +143,12 @@ def batch_scores(spark, sf_dir):
     return rows.select("customerID", "ChurnProbability", "WillChurn_Predicted", "ChurnRisk")
 
 
+@query("m11_score_columns", "SELECT customerID, ChurnProbability, WillChurn_Predicted, ChurnRisk FROM scored")
+def score_columns(spark, sf_dir):
+    """What a batch run makes of an unrounded score, with the stand-in score as the model."""
+    return scored(spark, sf_dir).select("customerID", "ChurnProbability", "WillChurn_Predicted", "ChurnRisk")
+
+
 @query("m13_profile_scores")
 def profile_scores(spark, sf_dir):
     rows = churn.score_profiles(raw(spark, sf_dir), trained(spark, sf_dir).model)
@@ -169,6 +175,15 @@ def model_reload(spark, sf_dir):
     return reports.score_summary(rows)
 
 
+@query("t7_top_correlations", """SELECT feature, importance FROM (SELECT unnest(['tenure', 'MonthlyCharges', 'TotalCharges', 'SeniorCitizen']) AS feature,
+    unnest([c1, c2, c3, c4]) AS importance FROM (SELECT abs(round(corr(tenure, Churn), 4)) AS c1, abs(round(corr(MonthlyCharges, Churn), 4)) AS c2,
+    abs(round(corr(TotalCharges, Churn), 4)) AS c3, abs(round(corr(SeniorCitizen, Churn), 4)) AS c4 FROM feat))
+    ORDER BY importance DESC, feature LIMIT 3""")
+def top_correlations(spark, sf_dir):
+    found = distributions.label_correlations(cleaned(spark, sf_dir), ["tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen"], "Churn")
+    return artifacts.top_features(found.select("feature", F.abs("correlation").alias("importance")), 3)
+
+
 @query("t7_top_features")
 def top_features(spark, sf_dir):
     return artifacts.top_features(trained(spark, sf_dir).importance, 3)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loyalscope.catalogue.base import RISK_SQL, cleaned, offer_sql, offered, query, scored
+from loyalscope.catalogue.base import RISK_SQL, cleaned, offer_sql, offered, query, raw, scored
 from loyalscope.functions import risk_band
-from loyalscope.operators import offers, reports, segments
+from loyalscope.operators import features, learning, offers, reports, segments
 from loyalscope.sources.subscribers import stand_in_score
 
 _LEFT = "CASE WHEN score >= 0.65 THEN 'High' WHEN score >= 0.35 THEN 'Medium' ELSE 'Low' END"
@@ -47,6 +47,15 @@ def offer_details(spark, sf_dir):
     return rows.select("customerID", "OfferID", "OfferTitle", "OfferDescription", "OfferDiscount", "OfferAction", "priority")
 
 
+@query("r4_single_profile_rules", f"""SELECT customerID, score AS ChurnProbability, risk AS ChurnRisk, {offer_sql('score', 'risk')} AS OfferID
+    FROM (SELECT *, {_LEFT} AS risk FROM scored)""")
+def single_profile_rules(spark, sf_dir):
+    """Raw profiles to features, a left-closed risk band and an offer, with the stand-in score as the model."""
+    profiles = features.profile_features(raw(spark, sf_dir)).withColumn("score", stand_in_score())
+    rows = learning.add_risk(profiles, "score", closed="left")
+    return rows.select("customerID", "ChurnProbability", "ChurnRisk", offers.offer_id(rows).alias("OfferID"))
+
+
 @query("r3_offer_distribution", "SELECT OfferTitle, count(*) AS count FROM offered GROUP BY OfferTitle")
 def offer_distribution(spark, sf_dir):
     return offers.offer_distribution(offered(spark, sf_dir))

@@ -15,10 +15,15 @@ from loyalscope.session import written
 from loyalscope.sources import artifacts, files, tables
 
 
-def encode(cleaned: DataFrame, levels: dict | None = schema.LEVELS) -> DataFrame:
+def one_hot_levels(raw: DataFrame) -> dict[str, list]:
+    """The values the one-hot columns have in the data, from one narrow scan."""
+    return features.find_levels(cleaning.trim_strings(raw.select(*schema.LEVELS)), list(schema.LEVELS))
+
+
+def encode(cleaned: DataFrame, levels: dict | None = None) -> DataFrame:
     """0/1 codes, one-hot columns with the three label columns kept, and the tenure group.
 
-    ``levels=None`` takes the one-hot values from the data, at the cost of one job.
+    Without ``levels`` the one-hot values are taken from the data, at the cost of one job.
     """
     codes = {"gender": schema.GENDER, **{c: schema.YES_NO for c in schema.YES_NO_COLUMNS}}
     out = cleaned.withColumn("Churn", binary_code(F.col("Churn"), schema.YES_NO))
@@ -36,12 +41,14 @@ def engineer(encoded: DataFrame, max_from: DataFrame | None = None) -> DataFrame
     return features.normalise_by_max(out, "tenure", "LoyaltyScore", max_from=max_from)
 
 
-def transform(raw: DataFrame, levels: dict | None = schema.LEVELS, approx: bool = False) -> DataFrame:
+def transform(raw: DataFrame, levels: dict | None = None, approx: bool = False) -> DataFrame:
     """Clean, encode and engineer as one lazy plan.
 
-    Neither dropping duplicates nor trimming changes the longest tenure, so it is read off the raw
-    rows: one column, no shuffle of whole rows.
+    Dropping duplicates changes neither the longest tenure nor the set of values to encode, so both
+    are read off the raw rows: few columns, no shuffle of whole rows. Give ``levels`` (for instance
+    ``schema.LEVELS``) for columns that do not depend on the data, and to save that job.
     """
+    levels = levels or one_hot_levels(raw)
     return engineer(encode(cleaning.clean(raw, approx=approx), levels), max_from=raw)
 
 
@@ -110,6 +117,7 @@ class RunConfig:
     table_prefix: str = ""
     model_settings: dict[str, dict[str, Any]] = field(default_factory=dict)
     models: tuple[str, ...] = tuple(learning.MODELS)
+    levels: dict[str, list] | None = None  # one-hot values; None takes them from the data
     approx: bool = False
 
     def path(self, name: str) -> str:
@@ -135,7 +143,7 @@ def run(spark: SparkSession, config: RunConfig, raw: DataFrame | None = None) ->
         raw = files.read_raw(spark, config.source, config.source_format)
     raw = files.snapshot(files.require_columns(raw, schema.RAW.fieldNames()), config.path("backup"))
 
-    files.write_parquet(transform(raw, approx=config.approx), config.path("processed"))
+    files.write_parquet(transform(raw, config.levels, config.approx), config.path("processed"))
     processed = spark.read.parquet(config.path("processed"))
     report = quality.validate(processed, schema.LABEL)
 

@@ -137,3 +137,12 @@ def test_partitioning_does_not_change_the_result(spark, raw):
 
 def test_cleaning_keeps_every_column(raw):
     assert cleaning.clean(raw).columns == schema.RAW.fieldNames()
+
+
+def test_one_hot_columns_follow_the_data_or_the_given_values(spark):
+    rows = subscribers(spark, {"customerID": "n", "Contract": " Three year "})
+    found = churn.transform(rows)
+    assert by_key(found)["n"]["Contract_Three year"] is True
+    assert "PaymentMethod_Mailed check" in found.columns and len(found.columns) == 54 + 1
+    fixed = churn.transform(rows, schema.LEVELS)
+    assert "Contract_Three year" not in fixed.columns and by_key(fixed)["n"]["Contract"] == "Three year"
