@@ -155,3 +155,8 @@ def churn_split_by_contract(spark, sf_dir):
 @query("t2_contracts_by_rate", _rate_sql("Contract") + " ORDER BY churn_rate_pct DESC")
 def contracts_by_rate(spark, sf_dir):
     return reports.rate_by(cleaned(spark, sf_dir), "Contract").orderBy(F.desc("churn_rate_pct"), "Contract")
+
+
+@query("t2_payments_by_rate", _rate_sql("PaymentMethod") + " ORDER BY churn_rate_pct")
+def payments_by_rate(spark, sf_dir):
+    return reports.rate_by(cleaned(spark, sf_dir), "PaymentMethod").orderBy("churn_rate_pct", "PaymentMethod")

@@ -90,6 +90,16 @@ def at_risk_export(spark, sf_dir):
     return files.read_stage(spark, path)
 
 
+_HIGH_RISK = ["customerID", "ChurnProbability", "ChurnRisk", "Contract", "MonthlyCharges", "tenure", "OfferTitle", "OfferDiscount"]
+
+
+@query("s10_high_risk_export", f"SELECT {', '.join(_HIGH_RISK)} FROM offered WHERE ChurnRisk = 'High'")
+def high_risk_export(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    files.export(segments.filter_segment(offered(spark, sf_dir), equals={"ChurnRisk": "High"}), _HIGH_RISK, path)
+    return files.read_stage(spark, path)
+
+
 @query("r6_light_run", """SELECT customerID, CASE WHEN trim(TotalCharges) = '' THEN 0.0 ELSE round(CAST(TotalCharges AS DOUBLE), 4) END AS TotalCharges,
     CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS ChurnFlag, CASE WHEN gender = 'Male' THEN 1 ELSE 0 END AS gender_encoded,
     CASE WHEN MonthlyCharges < 35 THEN 'Low' WHEN MonthlyCharges < 70 THEN 'Medium' ELSE 'High' END AS RevenueCategory,
