@@ -29,13 +29,16 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> D
     cols = [c for c in cols if df.schema[c].nullable]
     if not cols:
         return df
+    # a scalar that several columns use becomes a column first: one subquery in the plan and not one per use
     values = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
     if len(cols) > 1:
         gaps = values.agg(F.struct(*[(F.count_if(F.col(c).isNull()) > 0).alias(c) for c in cols])).scalar()
-        values = values.select(*[F.when(gaps[c], F.col(c)).alias(c) for c in cols])
+        gappy = lambda c: F.when(F.col("_gaps")[c], F.col(c)).alias(c)
+        values = values.withColumn("_gaps", gaps).select(*[gappy(c) for c in cols])
     pairs = F.collect_list(F.struct("feature", "median"))  # one per column
     middle = medians(values, cols, approx=approx).agg(F.map_from_entries(pairs)).scalar()
-    return df.withColumns({c: F.coalesce(finite(F.col(c).cast("double")), middle[c]) for c in cols})
+    filled = {c: F.coalesce(finite(F.col(c).cast("double")), F.col("_middle")[c]) for c in cols}
+    return df.withColumn("_middle", middle).withColumns(filled).drop("_middle")
 
 
 def zero_fill(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -80,8 +80,7 @@ def _binned(df: DataFrame, col: str, bins: int, by: Sequence[str]) -> DataFrame:
     if by:
         placed = with_group_stats(values, by, values.groupBy(*by).agg(*limits))
     else:
-        ends = values.agg(F.struct(*limits)).scalar()
-        placed = values.select("value", ends["low"].alias("low"), ends["high"].alias("high"))
+        placed = values.withColumn("_ends", values.agg(F.struct(*limits)).scalar()).select("value", "_ends.*")
     # equal limits get a unit range around the value, as plotting libraries do
     flat = F.col("low") == F.col("high")
     placed = placed.select(*by, "value", (F.col("low") - F.when(flat, 0.5).otherwise(0.0)).alias("low"),
@@ -144,8 +143,7 @@ def density(df: DataFrame, col: str, by: Sequence[str], grid: int = 100, bins: i
     if by:
         joined = with_group_stats(boxes, by, spread)
     else:
-        whole = spread.select(F.struct("n", "std")).scalar()
-        joined = boxes.withColumns({"n": whole["n"], "std": whole["std"]})
+        joined = boxes.withColumn("_whole", spread.select(F.struct("n", "std")).scalar()).select(*boxes.columns, "_whole.*")
     h = F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     points = joined.withColumn("h", h).withColumns({
         "start": F.col("low") - cut * F.col("h"),

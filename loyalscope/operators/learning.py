@@ -72,19 +72,19 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = schema.KEY,
     # 2**16 even ranges of the hash, in hash order
     ranged = hashed.withColumn("range", F.shiftright("hash", 48))
     quotas = _holdout_quota(df, label, fraction)
-    quota = F.when(F.col("class") == 1, quotas["q1"]).otherwise(quotas["q0"])
+    quota = F.when(F.col("class") == 1, F.col("_quotas.q1")).otherwise(F.col("_quotas.q0"))
 
     upto = Window.partitionBy("class").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     crosses = (F.col("after") >= quota) & (F.col("after") - F.col("n") < quota)
     crossing = (  # one row per class
         ranged.groupBy("class", "range").agg(F.count("*").alias("n"))
-        .withColumn("after", F.sum("n").over(upto.orderBy("range"))).where(crosses)
+        .withColumn("after", F.sum("n").over(upto.orderBy("range"))).withColumn("_quotas", quotas).where(crosses)
         .select(F.col("class").alias("_class"), F.col("range").alias("_range"),
-                (F.col("after") - F.col("n")).alias("before"))
+                (F.col("after") - F.col("n")).alias("before"), "_quotas")
     )
     edge = (
         ranged.join(F.broadcast(crossing), (F.col("class") == F.col("_class")) & (F.col("range") == F.col("_range")))
-        .groupBy("class", "before", "hash", "key").agg(F.count("*").alias("n"))
+        .groupBy("class", "before", "_quotas", "hash", "key").agg(F.count("*").alias("n"))
         .withColumn("after", F.col("before") + F.sum("n").over(upto.orderBy("hash", "key"))).where(crosses)
     )
     cuts = edge.agg(F.map_from_entries(F.collect_list(F.struct("class", F.struct("hash", "key"))))).scalar()
@@ -96,8 +96,9 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = schema.KEY,
 def balanced_weights(df: DataFrame, label: str = "label", out: str = WEIGHT) -> DataFrame:
     """n / (2 * class size) for each row of a 0/1 label."""
     total = df.agg(F.struct(F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("ones"))).scalar()
-    size = F.when(F.col(label) == 1, total["ones"]).otherwise(total["n"] - total["ones"])
-    return df.withColumn(out, total["n"].cast("double") / (2.0 * size.cast("double")))
+    n, ones = F.col("_total.n"), F.col("_total.ones")
+    size = F.when(F.col(label) == 1, ones).otherwise(n - ones)
+    return df.withColumn("_total", total).withColumn(out, n.cast("double") / (2.0 * size.cast("double"))).drop("_total")
 
 
 def estimators(features: Sequence[str], train_rows: int, settings: Mapping[str, Mapping[str, Any]] | None = None,

@@ -17,7 +17,7 @@ def con():
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_matches_sql(spark, con, name):
     actual = __spark_entry__.queries()[name](spark, SF_DIR).toArrow()
-    assert differences(actual, con.execute(ORACLES[name]).to_arrow_table()) == []
+    assert differences(actual, con.sql(ORACLES[name]).to_arrow_table()) == []
 
 
 def test_every_oracle_has_a_query():
