@@ -113,3 +113,11 @@ def key_uniqueness(spark, sf_dir):
 @query("c1_c7_clean", "SELECT * REPLACE (round(TotalCharges, 4) AS TotalCharges) FROM clean")
 def clean_rows(spark, sf_dir):
     return cleaning.clean(raw(spark, sf_dir)).withColumn("TotalCharges", F.round("TotalCharges", 4))
+
+
+@query("c8_intake_report", """SELECT 'rows' AS topic, 'total' AS name, count(*) AS count FROM num
+    UNION ALL SELECT 'missing', 'TotalCharges', count(*) FILTER (WHERE TotalCharges IS NULL) FROM num
+    UNION ALL SELECT 'duplicates', 'rows', count(*) - count(DISTINCT customerID) FROM num
+    UNION ALL SELECT 'Churn', Churn, count(*) FROM num GROUP BY Churn""")
+def intake_report(spark, sf_dir):
+    return quality.intake_report(cleaning.coerce_number(raw(spark, sf_dir), "TotalCharges"), "Churn")

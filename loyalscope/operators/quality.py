@@ -59,7 +59,11 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     surplus = _copies(df).where(F.col("_copies") > 1)
     last_slice = F.expr(f"(_copies - 2) div {COPIES_PER_TASK}")
     slices = surplus.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last_slice)))
-    spread = slices.repartition(F.xxhash64("_slice", *[F.col(f"`{c}`") for c in df.columns]))
+    # a fixed number of partitions: the slices are tiny before they are written out, and adaptive
+    # execution would otherwise put them all into one task
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    spread = slices.repartition(tasks, F.xxhash64("_slice", *[F.col(f"`{c}`") for c in df.columns]))
     size = F.least(F.lit(COPIES_PER_TASK), F.col("_copies") - 1 - F.col("_slice") * COPIES_PER_TASK)
     return (
         spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size.cast("bigint"))))
@@ -129,3 +133,14 @@ def dataset_profile(df: DataFrame) -> DataFrame:
          ("total_rows", F.col("total_rows")), ("total_columns", F.lit(len(df.columns)))]
         for i, f in enumerate(df.schema, 1)
     ])
+
+
+def intake_report(df: DataFrame, label: str) -> DataFrame:
+    """What is worth knowing about fresh input, as (topic, name, count): size, gaps, repeated rows, label values."""
+    row = lambda topic, name, count: [F.lit(topic).alias("topic"), name.alias("name"), count.cast("bigint").alias("count")]
+    size = df.agg(F.count("*").alias("n")).select(*row("rows", F.lit("total"), F.col("n")))
+    gaps = null_report(df).select(*row("missing", F.col("column"), F.col("missing_count")))
+    repeats = duplicate_count(df).select(*row("duplicates", F.lit("rows"), F.col("duplicate_rows")))
+    labels = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).select(
+        *row(label, F.col(label).cast("string"), F.col("n")))
+    return size.unionByName(gaps).unionByName(repeats).unionByName(labels)

@@ -127,6 +127,7 @@ class RunConfig:
 @dataclass
 class RunResult:
     final: DataFrame
+    intake: DataFrame
     report: DataFrame
     training: Training | None
     scored: bool
@@ -145,7 +146,7 @@ def run(spark: SparkSession, config: RunConfig, raw: DataFrame | None = None) ->
 
     files.write_parquet(transform(raw, config.levels, config.approx), config.path("processed"))
     processed = spark.read.parquet(config.path("processed"))
-    report = quality.validate(processed, schema.LABEL)
+    intake, report = quality.intake_report(raw, schema.LABEL), quality.validate(processed, schema.LABEL)
 
     training = None
     if config.with_training:
@@ -166,4 +167,4 @@ def run(spark: SparkSession, config: RunConfig, raw: DataFrame | None = None) ->
         tables.load_tables(final, raw, config.table_prefix, config.path("tables"))
     if config.with_light_run:
         files.write_csv(light_transform(raw), config.path("light"))
-    return RunResult(final, report, training, scored)
+    return RunResult(final, intake, report, training, scored)

@@ -95,6 +95,8 @@ def test_duplicates_are_counted_and_listed(spark, monkeypatch):
     assert quality.duplicate_count(df).first()[0] == 99 + 1 + 2
     listed = quality.duplicate_rows(df).groupBy("k", "v").count().collect()
     assert {(r["k"], r["v"]): r["count"] for r in listed} == {("hot", 1): 99, ("pair", 2): 1, (None, None): 2}
+    writers = quality.duplicate_rows(df).where("k = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(writers) >= 4 and max(r["count"] for r in writers) < 60
 
 
 @pytest.mark.parametrize("copies", [1, 2, 3, 7, 8, 9, 14, 15, 16])

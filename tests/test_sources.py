@@ -68,6 +68,14 @@ def test_processed_rows_come_back_typed(spark, featured, tmp_path, fmt, write):
     assert same_rows(back, featured)
 
 
+def test_processed_rows_written_by_pandas(spark, featured, tmp_path):
+    path = tmp_path / "processed.csv"
+    featured.toPandas().to_csv(path, index=False)
+    back = files.read_stage(spark, str(path))
+    assert back.dtypes == featured.dtypes
+    assert same_rows(back, featured)
+
+
 def test_first_available_source(spark, featured, tmp_path):
     name = f"t{uuid.uuid4().hex[:8]}"
     scored, processed = str(tmp_path / "scored"), str(tmp_path / "processed")
@@ -173,6 +181,7 @@ def test_whole_run(spark, tmp_path):
         assert c in result.final.columns
     assert spark.table(config.table_prefix + schema.CLEANED_TABLE).count() == 150
     assert artifacts.read_metrics(spark, config.path("metrics")).models.first()["model"] == "LogisticRegression"
+    assert {(r["topic"], r["name"]): r["count"] for r in result.intake.collect()}[("rows", "total")] == 150
     assert {r["check"] for r in result.report.collect()} == {"no_missing_values", "no_duplicate_rows", "label_is_integer"}
     # the model stays for runs without training
     scores = lambda run: sorted(map(tuple, run.final.select("customerID", "ChurnProbability").collect()))
