@@ -128,12 +128,17 @@ def estimators(features: Sequence[str], train_rows: int, settings: Mapping[str,
 
 
 def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str] = MODELS,
-               settings: Mapping[str, Mapping[str, Any]] | None = None, seed: int = SEED) -> dict[str, PipelineModel]:
-    """Fit the named learners on one cached, weighted training set."""
+               settings: Mapping[str, Mapping[str, Any]] | None = None, seed: int = SEED,
+               partitions: int | None = None) -> dict[str, PipelineModel]:
+    """Fit the named learners on one cached, weighted training set.
+
+    Trees shuffle a block of statistics per partition and level, so a very large set with far more
+    partitions than tasks that run at once should be narrowed to ``partitions``.
+    """
     if not models:
         return {}
     checkpointing(train.sparkSession)
-    weighted = balanced_weights(train).persist()
+    weighted = balanced_weights(train if partitions is None else train.coalesce(partitions)).persist()
     try:
         plans = estimators(features, weighted.count(), settings, seed)
         return {name: plans[name].fit(weighted) for name in models}

@@ -82,7 +82,8 @@ class Training:
 
 
 def train(rows: DataFrame, models=tuple(learning.MODELS), settings: dict | None = None,
-          seed: int = learning.SEED, fitted: dict[str, PipelineModel] | None = None) -> Training:
+          seed: int = learning.SEED, fitted: dict[str, PipelineModel] | None = None,
+          partitions: int | None = None) -> Training:
     """Prepare, split, fit, evaluate and choose; models already ``fitted`` on the same rows are taken as they are.
 
     The prepared rows are written once, because the split reads them several times, and so are the
@@ -91,7 +92,7 @@ def train(rows: DataFrame, models=tuple(learning.MODELS), settings: dict | None
     prepared = learning.prepare(rows)
     training, test = learning.stratified_split(written(prepared.rows, "prepared"), seed=seed)
     missing = [m for m in models if m not in (fitted or {})]
-    every = {**(fitted or {}), **learning.fit_models(training, prepared.features, missing, settings, seed)}
+    every = {**(fitted or {}), **learning.fit_models(training, prepared.features, missing, settings, seed, partitions)}
     every = {m: every[m] for m in models}
     scores = written(learning.predictions(every, test), "held-out")
     metrics = written(evaluation.evaluate(scores), "metrics")
@@ -117,6 +118,7 @@ class RunConfig:
     table_prefix: str = ""
     model_settings: dict[str, dict[str, Any]] = field(default_factory=dict)
     models: tuple[str, ...] = tuple(learning.MODELS)
+    training_partitions: int | None = None
     levels: dict[str, list] | None = None  # one-hot values; None takes them from the data
     approx: bool = False
 
@@ -150,7 +152,7 @@ def run(spark: SparkSession, config: RunConfig, raw: DataFrame | None = None) ->
 
     training = None
     if config.with_training:
-        training = train(processed, config.models, config.model_settings)
+        training = train(processed, config.models, config.model_settings, partitions=config.training_partitions)
         artifacts.save_model(training.model, config.path("model"))
         document = artifacts.metrics_document(training.metrics, training.importance, training.best)
         artifacts.write_metrics(document, config.path("metrics"))

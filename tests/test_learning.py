@@ -99,6 +99,13 @@ def test_logistic_penalty_counts_rows(training):
     assert line.getOrDefault("standardization") is False
 
 
+def test_narrowed_training_set_gives_the_same_model(spark):
+    rows = spark.range(400).select(F.col("id").cast("string").alias("customerID"), (F.col("id") % 7).cast("double").alias("a"),
+                                   (F.col("id") % 3 == 0).cast("int").alias("label")).repartition(6)
+    fit = lambda n: learning.fit_models(rows, ["a"], ["LogisticRegression"], partitions=n)["LogisticRegression"].stages[-1]
+    assert fit(2).coefficients.toArray() == pytest.approx(fit(None).coefficients.toArray(), abs=1e-6)
+
+
 def test_default_settings():
     plans = learning.estimators(schema.FEATURES, 100)
     forest, boosting, line = (plans[m].getStages()[-1] for m in learning.MODELS)
