@@ -65,7 +65,8 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = schema.KEY,
     """(train, test): within each class of a 0/1 label the smallest key hashes are held out, an exact share.
 
     The cut in each class is found from counts per hash range, so no class is ever ordered as a
-    whole. Rows with the same key stay on the same side.
+    whole. Rows of one class with the same key stay on the same side, so a repeated key at the cut
+    makes the held-out share that much larger.
     """
     hashed = df.where(F.col(label).isin(0, 1)).select(
         F.col(label).alias("class"), _spread(key, seed).alias("hash"), F.col(key).alias("key"))

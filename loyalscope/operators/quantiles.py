@@ -10,6 +10,8 @@ before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -54,12 +56,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     value = F.col("value")
     bands = [(F.col("ends")[2 * i], F.col("ends")[2 * i + 1]) for i in range(len(probs))]
-    inside = bands[0][0] <= value
-    inside = inside & (value <= bands[0][1])
-    gap = F.when(value > bands[0][1], 1).otherwise(0)
-    for low, high in bands[1:]:
-        inside = inside | ((value >= low) & (value <= high))
-        gap = gap + F.when(value > high, 1).otherwise(0)
+    inside = reduce(or_, [value.between(low, high) for low, high in bands])
+    gap = reduce(add, [F.when(value > high, 1).otherwise(0) for _, high in bands])  # how many bands lie below
     counted = (
         joined.select(*keys, "value", F.when(inside, value).alias("kept"), F.when(~inside, gap).alias("gap"))
         .groupBy(*keys, "kept", "gap")
@@ -101,7 +99,8 @@ def _at(p: float, side: str) -> Column:
 def _between(i: int, p: float) -> Column:
     low, high = F.col(f"_{i}_low"), F.col(f"_{i}_high")
     position = _position(p, "_total")
-    return low + (high - low) * (position - F.floor(position))
+    # equal neighbours, two infinities for instance, need no arithmetic
+    return F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
 
 
 def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx: bool = False) -> DataFrame:

@@ -264,3 +264,9 @@ def test_whisker_never_ends_inside_the_box(spark):
     df = spark.createDataFrame([("a", v) for v in (0.0, 0.0, 0.0, 10.0, 100.0)], "g string, v double")
     row = distributions.box_stats(df, "v", ["g"]).first()
     assert (row["q25"], row["q75"], row["whisker_low"], row["whisker_high"], row["outliers"]) == (0.0, 10.0, 0.0, 10.0, 1)
+
+
+def test_quantiles_of_infinities(spark):
+    df = spark.createDataFrame([(float("-inf"),), (float("-inf"),), (1.0,), (float("inf"),), (float("inf"),)], "v double")
+    row = q.quantiles(df, ["v"], [0.1, 0.5, 0.9]).first()
+    assert (row["q10"], row["q50"], row["q90"]) == (float("-inf"), 1.0, float("inf"))
