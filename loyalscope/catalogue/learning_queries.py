@@ -9,7 +9,7 @@ from loyalscope.catalogue.base import (
     TRIAL_MODELS, _state, cleaned, query, raw, scored, trial_predictions)
 from loyalscope.operators import distributions, evaluation, learning, offers, reports
 from loyalscope.plans import churn
-from loyalscope.session import scratch_path
+from loyalscope.session import scratch_path, written
 from loyalscope.sources import artifacts
 
 _AS_DOUBLE = ", ".join(f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in schema.FEATURES)
@@ -71,7 +71,8 @@ def best_model(spark, sf_dir):
 @query("m14_model_comparison", f"""SELECT model, accuracy, "precision", recall, f1, roc_auc, model = (SELECT model FROM measured
     ORDER BY roc_auc DESC, {_PLACE} LIMIT 1) AS is_best FROM measured""")
 def model_comparison(spark, sf_dir):
-    return evaluation.comparison(evaluation.evaluate(trial_predictions(spark, sf_dir)), TRIAL_MODELS)
+    metrics = written(evaluation.evaluate(trial_predictions(spark, sf_dir)), "metrics")
+    return evaluation.comparison(metrics, TRIAL_MODELS)
 
 
 @query("s9_metrics_document", f"""SELECT model, accuracy, "precision", recall, f1, roc_auc, tn, fp, fn, tp,

@@ -97,7 +97,7 @@ def select_best(metrics: DataFrame, order: Sequence[str], model: str = "model")
 
 
 def comparison(metrics: DataFrame, order: Sequence[str], model: str = "model") -> DataFrame:
-    """All models with a flag on the best one, in the given order."""
+    """All models with a flag on the best one, in the given order. Reads the metrics twice, so give written ones."""
     best = select_best(metrics, order, model).select(model).scalar()
     place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col(model))
     return metrics.select(model, "accuracy", "precision", "recall", "f1", "roc_auc",

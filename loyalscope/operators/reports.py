@@ -56,6 +56,8 @@ def rate_by(df: DataFrame, dims: Sequence[str], label: str = schema.LABEL, digit
     dims = [dims] if isinstance(dims, str) else list(dims)
     grouped = df.groupBy(*dims).agg(F.count(label).alias("total"), _churned(label).alias("churned"))
     if order_labels is not None:
+        if len(dims) > 1:
+            raise ValueError("listed labels need a single dimension")
         zero = F.lit(0).cast("bigint")
         grouped = _in_order(grouped, dims[0], order_labels)
         grouped = grouped.withColumns({c: F.coalesce(F.col(c), zero) for c in ("total", "churned")})
