@@ -195,3 +195,25 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             break
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def appended(rows: DataFrame, compute, new: str) -> DataFrame:
+    """All columns of rows and those that compute(batch) gives as a list of arrays, as declared in `new`.
+
+    Columns of rows with the name of a new one are replaced; compute() finds them as `_given_<name>`.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    made = _parse_datatype_string(new)
+    rows = rows.select([c for c in rows.columns if c.lower() not in {f.name.lower() for f in made}] + [
+        F.col(f"`{c}`").alias(f"_given_{c}") for c in rows.columns if c.lower() in {f.name.lower() for f in made}])
+    kept = [f for f in rows.schema if not f.name.startswith("_given_")]
+    types = to_arrow_schema(made).types
+
+    def run(batches):
+        for batch in batches:
+            arrays = [pa.array(a, t) if not isinstance(a, pa.Array) else a for a, t in zip(compute(batch), types)]
+            yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + arrays, names=[f.name for f in kept] + made.names)
+
+    return rows.mapInArrow(run, StructType(kept + list(made.fields)))

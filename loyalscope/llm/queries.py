@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loyalscope.llm import license_scan, sentencepiece_codec, sharding
+from loyalscope.llm import decontamination, language_id, license_scan, pii, sentencepiece_codec, sharding
 from loyalscope.llm.common import read
 
 #: Where the vocabulary files of public tokenizers are.
@@ -28,9 +29,30 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), tree, sharding.grown(tree, SHARDS))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = language_id.fold(F.col("doc_id"), 5) == 0
+    model = language_id.train(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontamination.judge(docs, read(spark, sf_dir, "benchmark"))
+    ids = F.concat_ws(",", F.array_sort(F.col("hit_items").cast("array<string>")))
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), piece_model())
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op4_sharding, op10_sentencepiece)}
-ORACLES = {"op2_license_scan": license_scan.oracle()}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op4_sharding, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece)}
+ORACLES = {"op2_license_scan": license_scan.oracle(), "op8_decontamination": decontamination.oracle()}
