@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalscope.llm import decontamination, language_id, license_scan, pii, sentencepiece_codec, sharding
+from loyalscope.llm import decontamination, embedding_join, language_id, license_scan, pii, sentencepiece_codec, sharding
 from loyalscope.llm.common import read
 
 #: Where the vocabulary files of public tokenizers are.
@@ -20,6 +20,10 @@ def piece_model(folder: str = TOKENIZERS) -> bytes:
         return file.read()
 
 
+def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.link(read(spark, sf_dir, "embeddings"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -54,5 +58,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), piece_model())
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op4_sharding, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece)}
-ORACLES = {"op2_license_scan": license_scan.oracle(), "op8_decontamination": decontamination.oracle()}
+QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op4_sharding, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece)}
+ORACLES = {"op1_embedding_join": embedding_join.oracle(), "op2_license_scan": license_scan.oracle(), "op8_decontamination": decontamination.oracle()}
