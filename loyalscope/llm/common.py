@@ -149,7 +149,7 @@ def _packed(batches):
 
 
 def unpack(blobs: pa.Table | pa.RecordBatch) -> pa.Table:
-    """The documents of one chunk, ordered by doc_id (null first) and text, whatever order the blobs came in."""
+    """The documents of one chunk, ordered by doc_id (null last) and text, whatever order the blobs came in."""
     import zstandard
 
     press = zstandard.ZstdDecompressor()
@@ -157,14 +157,7 @@ def unpack(blobs: pa.Table | pa.RecordBatch) -> pa.Table:
     for blob in blobs.column("blob").to_pylist():
         with pa.ipc.open_stream(press.decompress(blob)) as stream:
             parts.append(stream.read_all())
-    table = pa.concat_tables(parts)
-    ids = table.column("doc_id").to_numpy().astype(np.float64) if table.column("doc_id").null_count else table.column("doc_id").to_numpy()
-    order = np.argsort(np.nan_to_num(ids, nan=-np.inf) if ids.dtype.kind == "f" else ids, kind="stable")
-    return table.take(pa.array(order))
-
-
-def result(batch_columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(batch_columns[f.name], f.type) for f in schema], schema=schema)
+    return pa.concat_tables(parts).sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
 # Connected components
