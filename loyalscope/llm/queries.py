@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalscope.llm import decontamination, embedding_join, jaccard_join, language_id, license_scan, pii, sentencepiece_codec, sharding, suffix_dedup
+from loyalscope.llm import decontamination, embedding_join, jaccard_join, language_id, license_scan, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
 from loyalscope.llm.common import read
 
 #: Where the vocabulary files of public tokenizers are.
@@ -37,6 +37,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), tree, sharding.grown(tree, SHARDS))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(read(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
 
@@ -66,5 +70,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), piece_model())
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op5_pitman_yor, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece)}
 ORACLES = {"op1_embedding_join": embedding_join.oracle(), "op2_license_scan": license_scan.oracle(), "op3_jaccard_join": jaccard_join.oracle(), "op8_decontamination": decontamination.oracle()}

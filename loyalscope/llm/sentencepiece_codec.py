@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loyalscope.llm.common import appended
+
 SPACE = "▁"
 #: A worker forgets its known words beyond this many; they are then worked out again.
 REMEMBERED = 200_000
@@ -57,7 +59,7 @@ class Codec:
         self.utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode()
                      for i, p in enumerate(proto.pieces)]
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, str, bytes]] = {}
+        self.words: dict[str, tuple[list[int], str, bytes]] = {}
 
     def merged(self, text: str) -> list[str]:
         """The definition: of all neighbours whose union is a piece, the best-scored, leftmost pair is united, again and again."""
@@ -118,21 +120,21 @@ class Codec:
             known = ""
         return ids + (self._segment(known) if known else [])
 
-    def look_up(self, unit: str) -> tuple[int, str, bytes]:
-        """Number of ids, the ids as text, and the bytes they stand for."""
+    def look_up(self, unit: str) -> tuple[list[int], str, bytes]:
+        """The ids, the ids as text, and the bytes they stand for."""
         got = self.words.get(unit)
         if got is None:
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             ids = self._unit(unit)
-            got = self.words[unit] = (len(ids), ",".join([self.digits[i] for i in ids]), self.raw(ids))
+            got = self.words[unit] = (ids, ",".join([self.digits[i] for i in ids]), self.raw(ids))
         return got
 
     def units(self, text: str) -> list[str]:
         return _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str) -> list[int]:
-        return [i for unit in self.units(text) for i in self._unit(unit)]
+        return [i for unit in self.units(text) for i in self.look_up(unit)[0]]
 
     def raw(self, ids: Iterable[int]) -> bytes:
         """The UTF-8 bytes of ids, spaces restored; control ids stand for nothing."""
@@ -150,25 +152,30 @@ def _codec(model: bytes) -> Codec:
     return Codec(model)
 
 
-def digests(docs: DataFrame, model: bytes) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256 (ids joined by commas), decoded_sha256.
+def digests(docs: DataFrame, model: bytes, with_ids: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_tokens, ids_sha256 (ids joined by commas), decoded_sha256 and, if asked for, token_ids.
 
     Whole texts; null text is empty and has no ids. Repeated rows stay, other columns are left behind, an empty table gives
     no rows. The model file (a few hundred kilobytes) goes to the tasks with the function.
     """
+    schema = OUT.append(pa.field("token_ids", pa.list_(pa.int32()))) if with_ids else OUT
 
     def run(batches):
         codec = _codec(model)
         for batch in batches:
-            counts, ids, texts = [], [], []
+            counts, ids, texts, lists = [], [], [], []
             for value in batch.column("text"):
                 got = [codec.look_up(u) for u in codec.units(value.as_py() or "")]
-                counts.append(sum(g[0] for g in got))
+                counts.append(sum([len(g[0]) for g in got]))
                 ids.append(hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest())
                 texts.append(hashlib.sha256(b"".join([g[2] for g in got])[1:].decode("utf-8", "replace").encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(ids), pa.array(texts)], schema=OUT)
+                if with_ids:
+                    lists.append([i for g in got for i in g[0]])
+            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(lists, pa.list_(pa.int32()))] * with_ids, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kinds)
 
 
 def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "token_ids") -> DataFrame:
@@ -182,19 +189,9 @@ def decode(docs: DataFrame, model: bytes, ids: str = "token_ids", into: str = "d
 
 
 def _mapped(docs: DataFrame, source: str, into: str, kind: str, make: Callable, model: bytes) -> DataFrame:
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import _parse_datatype_string
-
-    keep = docs.drop(into)
-    given = keep.select("*") if source != into else docs
-    out_type = to_arrow_type(_parse_datatype_string(kind))
-    names = [c for c in given.columns if c != into] + [into]
-
-    def run(batches):
+    def compute(batch):
         call = make(_codec(model))
-        for batch in batches:
-            made = pa.array([call(v.as_py()) for v in batch.column(source)], out_type)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names[:-1]] + [made], names=names)
+        name = source if source in batch.schema.names else f"_given_{source}"
+        return [[call(v.as_py()) for v in batch.column(name)]]
 
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in given.schema if f.name != into)
-    return given.mapInArrow(run, f"{fields}, `{into}` {kind}" if fields else f"`{into}` {kind}")
+    return appended(docs, compute, f"`{into}` {kind}")
