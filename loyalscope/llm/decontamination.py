@@ -187,18 +187,24 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int
     gives no rows, columns with the three names are replaced. A large benchmark is cut into automata of bounded size,
     which the documents pass one after the other, without a shuffle.
     """
+    return _public(_matched(docs, benchmark, window, size), ["n_words", "hit_spans", "hit_items"])
+
+
+def _public(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Columns that were worked out under names of their own take the place of any that have these."""
+    return rows.drop(*names).withColumnsRenamed({f"_{n}": n for n in names})
+
+
+def _matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_BYTES) -> DataFrame:
     context = docs.sparkSession.sparkContext
-    rows = docs.withColumns({"n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast("array<struct<begin:int,end:int>>"),
-                             "hit_items": F.array().cast("array<bigint>")})
+    rows = docs.withColumns({"_n_words": F.lit(0).cast("long"), "_hit_spans": F.array().cast("array<struct<begin:int,end:int>>"),
+                             "_hit_items": F.array().cast("array<bigint>")})
     for items in blocks(benchmark, size):
-        shared = context.broadcast(Automaton(item_words(items), window))
-        rows = _pass(rows, shared)
+        rows = _pass(rows, context.broadcast(Automaton(item_words(items), window)))
     return rows
 
 
 def _pass(rows: DataFrame, shared) -> DataFrame:
-    rows = rows.withColumnsRenamed({"hit_spans": "_spans", "hit_items": "_items"})
-
     def compute(batch):
         data, starts = text_bytes(batch.column("text"))
         counts, spans, items = [], [], []
@@ -209,29 +215,37 @@ def _pass(rows: DataFrame, shared) -> DataFrame:
             found = shared.value.texts(words)
             spans += found[0]
             items += found[1]
-        before = [[(s["begin"], s["end"]) for s in x] for x in batch.column("_spans").to_pylist()]
+        before = [[(s["begin"], s["end"]) for s in x] for x in batch.column("_given__hit_spans").to_pylist()]
         merged = [[{"begin": a, "end": b} for a, b in _union(x + y)] for x, y in zip(before, spans)]
-        known = [sorted(set(x) | y) for x, y in zip(batch.column("_items").to_pylist(), items)]
+        known = [sorted(set(x) | y) for x, y in zip(batch.column("_given__hit_items").to_pylist(), items)]
         return [counts, merged, known]
 
-    return appended(rows, compute, "n_words long, hit_spans array<struct<begin:int,end:int>>, hit_items array<bigint>").drop("_spans", "_items")
+    return appended(rows, compute, "_n_words long, _hit_spans array<struct<begin:int,end:int>>, _hit_items array<bigint>")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, per_cent: int) -> DataFrame:
+    hit = F.aggregate("_hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["begin"]).cast("long"))
+    rows = _matched(docs, benchmark).withColumn("_n_hit", hit).withColumn("_n_items", F.size("_hit_items").cast("long"))
+    return rows.withColumn("_contaminated", (F.col("_n_hit") > 0) & (F.col("_n_hit") * 100 >= F.col("_n_words") * per_cent))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, per_cent: int = 5) -> DataFrame:
     """match() with n_hit (words inside windows), n_items and contaminated (n_hit is at least `per_cent` of the words)."""
-    rows = match(docs, benchmark)
-    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["begin"]).cast("long"))
-    return rows.withColumn("n_hit", hit).withColumn("n_items", F.size("hit_items").cast("long")).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * per_cent))
+    return _public(_judged(docs, benchmark, per_cent), ["n_words", "hit_spans", "hit_items", "n_hit", "n_items", "contaminated"])
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, per_cent: int = 5) -> DataFrame:
+    """The rows of docs that judge() calls clean, with just their own columns."""
+    return _judged(docs, benchmark, per_cent).where("NOT _contaminated").select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All columns of docs, the text without the words that lie in windows (one space in place of each span)."""
-    rows = match(docs, benchmark)
+    rows = _matched(docs, benchmark)
 
     def compute(batch):
         out = []
-        for text, spans in zip(batch.column("_given_text").to_pylist(), batch.column("hit_spans").to_pylist()):
+        for text, spans in zip(batch.column("_given_text").to_pylist(), batch.column("_hit_spans").to_pylist()):
             if spans:
                 raw = text.encode()
                 words = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), WORD_CHARS)

@@ -74,7 +74,7 @@ class Forest:
 
 
 def join_intervals(x: np.ndarray, cx: np.ndarray, wx: np.ndarray, y: np.ndarray | None, cy: np.ndarray | None, wy: np.ndarray | None,
-                   least: float) -> tuple[np.ndarray, Forest]:
+                   least: float, leaf: int = LEAF) -> tuple[np.ndarray, Forest]:
     """Weights of the partners of every row, and the links as a forest, of two sequences (or of one with itself: y None).
 
     Rows of y are numbered behind those of x. A pair is compared once."""
@@ -90,7 +90,7 @@ def join_intervals(x: np.ndarray, cx: np.ndarray, wx: np.ndarray, y: np.ndarray
         same = own and a == c
         if a >= b or c >= d or (not same and distant(cx[a:b], cy[c:d])):
             return
-        if b - a <= LEAF and d - c <= LEAF:
+        if b - a <= leaf and d - c <= leaf:
             near = x[a:b] @ y[c:d].T >= least
             if same:
                 near = np.triu(near, 1)
@@ -120,7 +120,7 @@ def join_intervals(x: np.ndarray, cx: np.ndarray, wx: np.ndarray, y: np.ndarray
     return partners, forest
 
 
-def link(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
+def link(vectors: DataFrame, threshold: float = 0.93, block: int = BLOCK, leaf: int = LEAF) -> DataFrame:
     """One row per row of `vectors` (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
     Two vectors are linked if their labels are equal and not null, their lengths are equal and their cosine, in double
@@ -167,14 +167,14 @@ def link(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
 
         for batch in batches:
             for row in batch.to_pylist():
-                if held and (len(held) >= BLOCK or (row["label"], row["length"]) != (held[0]["label"], held[0]["length"])):
+                if held and (len(held) >= block or (row["label"], row["length"]) != (held[0]["label"], held[0]["length"])):
                     yield emit()
                 held.append(row)
         if held:
             yield emit()
 
     blocks = written(ordered.mapInArrow(cut, "label string, length int, block long, low array<int>, high array<int>, vectors binary, cells binary, ids binary, weights binary"), "blocks")
-    found = written(_pairs(blocks).mapInArrow(_joined(threshold), "a long, b long, n long"), "links")
+    found = written(_pairs(blocks).mapInArrow(_joined(threshold, leaf), "a long, b long, n long"), "links")
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     groups = components(found.where("b IS NOT NULL").select("a", "b")).withColumnsRenamed({"node": "rep", "component": "group"})
     known = classes.join(counts, "rep", "left").join(groups, "rep", "left")
@@ -208,7 +208,7 @@ def _pairs(blocks: DataFrame) -> DataFrame:
     return pairs.join(content, "block").join(second, "other")
 
 
-def _joined(threshold: float):
+def _joined(threshold: float, leaf: int):
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
@@ -217,10 +217,10 @@ def _joined(threshold: float):
                                     np.frombuffer(row[f"weights{end}"], np.int64), np.frombuffer(row[f"ids{end}"], np.int64))
                 x, cx, wx, ids = read("")
                 if row["block"] == row["other"]:
-                    partners, forest = join_intervals(x, cx, wx, None, None, None, threshold)
+                    partners, forest = join_intervals(x, cx, wx, None, None, None, threshold, leaf)
                 else:
                     y, cy, wy, more = read("2")
-                    partners, forest = join_intervals(x, cx, wx, y, cy, wy, threshold)
+                    partners, forest = join_intervals(x, cx, wx, y, cy, wy, threshold, leaf)
                     ids = np.concatenate([ids, more])
                 some = np.flatnonzero(partners)
                 a = np.concatenate([ids[some], ids[[p for p, _ in forest.links]] if forest.links else ids[:0]])

@@ -23,8 +23,8 @@ from loyalscope.llm.common import NOT_SPACE, Words, components, groups, mix, tex
 
 WORDS = 5
 PER_CENT = 80
-#: Sets list 1/EXTRA more of their shingles than the prefix theorem asks for; as many shared ones may then be forgotten.
-EXTRA = 10
+#: A set of n lists n // SPARE more of its shingles than the prefix theorem asks for; as many shared ones may then be forgotten.
+SPARE = 10
 #: Pivots that a region is split by before what is left of it is compared window by window.
 PIVOTS = 2
 #: Ids of candidates are broadcast up to this many rows (8 bytes each); beyond, the join is shuffled.
@@ -64,14 +64,12 @@ def set_key(hashes: np.ndarray) -> int:
     return int(mix((hashes * powers).sum(keepdims=True, dtype=np.uint64) ^ np.uint64(len(hashes)))[0].astype(np.int64))
 
 
-def extra(n):
-    """How many more shingles than one two sets share among those they list, if the smaller has n."""
-    return n // EXTRA
+def listed(n: int, spare: int) -> int:
+    """How many of its n shingles a set lists, smallest hashes first.
 
-
-def listed(n: int) -> int:
-    """How many of its n shingles a set lists, smallest hashes first."""
-    return n - -(-n * PER_CENT // 100) + 1 + extra(n)
+    Two linked sets share at least 1 + m // spare of those that both list, m being the size of the smaller.
+    """
+    return n - -(-n * PER_CENT // 100) + 1 + n // spare
 
 
 def _sets(batches):
@@ -93,7 +91,7 @@ def keys(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key long")
 
 
-def entries(docs: DataFrame) -> DataFrame:
+def entries(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     """Rows (h, x, n): the shingles that each distinct set lists, its key and size. A task lists a set once."""
 
     def run(batches):
@@ -103,7 +101,7 @@ def entries(docs: DataFrame) -> DataFrame:
             for s in sets:
                 if len(s) and (key := set_key(s)) not in done:
                     done.add(key)
-                    fresh.append((s[: listed(len(s))], key, len(s)))
+                    fresh.append((s[: listed(len(s), spare)], key, len(s)))
             if fresh:
                 sizes = [len(p) for p, _, _ in fresh]
                 yield pa.RecordBatch.from_arrays([
@@ -164,12 +162,13 @@ def _measured(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     return written(rows.select("x", "p", (1 - F.col("common") / union).alias("d"), (F.col("common") * 100 >= union * PER_CENT).alias("linked")), name)
 
 
-def links(docs: DataFrame) -> DataFrame:
+def links(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     """Rows (a, b): keys of linked sets, enough of them to connect every class. `docs` has doc_id and text."""
     spark = docs.sparkSession
-    least = lambda n: F.floor(F.ceil(n * PER_CENT / 100) / EXTRA)  # extra() of the smallest set that can be linked with one of n
+    # what the smallest set that can be linked with one of n lists to spare
+    least = lambda n: F.floor(F.ceil(n * PER_CENT / 100) / spare)
     # Lists: shingles listed by two sets at least. A set that shares too few of those it lists has no partner.
-    lists = written(entries(docs).repartition("h").sortWithinPartitions("h", "x").mapInArrow(_shared, "h long, x long, n int"), "lists")
+    lists = written(entries(docs, spare).repartition("h").sortWithinPartitions("h", "x").mapInArrow(_shared, "h long, x long, n int"), "lists")
     enough = lists.groupBy("x").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(F.col("c") >= 1 + least(F.col("n"))).select("x")
     lists = lists.join(enough, "x", "left_semi")
     sizes = lists.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
@@ -258,7 +257,7 @@ def keys_and_sets(docs: DataFrame, members: DataFrame | None) -> DataFrame:
     return docs.select("text").mapInArrow(run, "x long, hashes binary")
 
 
-def classify(docs: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id.
 
     Documents are linked if the Jaccard similarity of their sets of distinct five-word shingles is at least 0.8;
@@ -269,7 +268,7 @@ def classify(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     rows = written(keys(docs), "keys")
-    groups_ = components(links(docs), "classes").select(F.col("node").alias("set_key"), F.col("component").alias("class"))
+    groups_ = components(links(docs, spare), "classes").select(F.col("node").alias("set_key"), F.col("component").alias("class"))
     firsts = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first")).join(groups_, "set_key", "left")
     firsts = firsts.withColumn("class", F.coalesce("class", "set_key"))
     smallest = firsts.groupBy("class").agg(F.min("first").alias("component_id"))

@@ -153,6 +153,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     rows get equal answers, columns of docs with the three names are replaced, an empty table gives no rows. The model is
     a few megabytes whatever the corpus and goes to the tasks with the function.
     """
+    return _identified(docs, model, "").drop("_letters")
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs that identify() accepts, with just their own columns."""
+    return _identified(docs, model, "_").where("_accepted").select(*docs.columns)
+
+
+def _identified(docs: DataFrame, model: Model, prefix: str) -> DataFrame:
     rows = docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def compute(batch):
@@ -169,4 +178,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         accepted = letters & (scores >= model.threshold) & np.array([n != UNKNOWN for n in names], dtype=bool)
         return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
 
-    return appended(rows, compute, "lang_pred string, score double, accepted boolean").drop("_letters")
+    return appended(rows, compute, f"{prefix}lang_pred string, {prefix}score double, {prefix}accepted boolean")
