@@ -16,8 +16,7 @@ from loyalscope.llm.common import read, written
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model accepts; null texts and those without a letter go."""
     model = language_id.train(docs.where(language_id.fold(F.col("doc_id"), 5) != 0))
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted")]
-    return language_id.identify(docs, model).where("accepted").select(*names)
+    return language_id.accepted(docs, model)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +26,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words fewer than a twentieth lie in windows of test items."""
-    return decontamination.judge(docs, read(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
+    return decontamination.uncontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
