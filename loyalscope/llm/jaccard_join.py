@@ -111,6 +111,20 @@ def entries(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, x long, n int")
 
 
+def _exploded(sets: DataFrame) -> DataFrame:
+    """Rows (h, x, n): all shingles of the sets (x, hashes)."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                hashes = [np.frombuffer(b.as_buffer(), np.int64) for b in part.column("hashes")]
+                sizes = [len(h) for h in hashes]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.repeat(part.column("x").to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes), pa.int32())], names=["h", "x", "n"])
+
+    return sets.mapInArrow(run, "h long, x long, n int")
+
+
 def _shared(batches):
     """Of entries sorted by (h, x), those whose h is listed by two different sets at least, each once."""
     last = None  # the entry not yet given out: alone so far in its h
@@ -149,8 +163,10 @@ def _overlap(batches):
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("x", "p", "nx", "np")] + [pa.array(common, pa.int64())], names=["x", "p", "nx", "np", "common"])
 
 
-def _similar_sizes(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PER_CENT
+def _possible(n: str, other: str, c: str, shared: str) -> Column:
+    """Whether sets of these sizes, and with so many shingles that any other set has, can be linked."""
+    a, b, most = F.col(n), F.col(other), F.least(c, shared, n, other)
+    return most * 100 >= (a + b - most) * PER_CENT
 
 
 def _measured(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
@@ -172,8 +188,10 @@ def links(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     enough = lists.groupBy("x").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(F.col("c") >= 1 + least(F.col("n"))).select("x")
     lists = lists.join(enough, "x", "left_semi")
     sizes = lists.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    rank = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("df"), "h"))
-    lists = lists.join(sizes, "h").withColumn("rank", rank).where(F.col("rank") > least(F.col("n"))).select("h", "x", "n")
+    # A set of shingles that many others hold is near the middle of its group: the best pivot.
+    own = Window.partitionBy("x")
+    lists = lists.join(sizes, "h").withColumns({"rank": F.row_number().over(own.orderBy(F.desc("df"), "h")), "middle": F.sum("df").over(own) / F.col("n")})
+    lists = lists.where(F.col("rank") > least(F.col("n"))).select("h", "x", "n", "middle")
     regions = written(lists, "regions")
     members = written(regions.select("x").distinct(), "members")
     # The sets of all members, once each.
@@ -182,37 +200,78 @@ def links(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     if wanted > BROADCAST_ROWS:
         chosen = chosen.join(members, "x", "left_semi")
     sets = written(chosen.groupBy("x").agg(F.first("hashes").alias("hashes")), "sets")
+    # c: how many of all its shingles a set shares with any other; no two sets share more than the smaller c.
+    shared = _exploded(sets).repartition("h").sortWithinPartitions("h", "x").mapInArrow(_shared, "h long, x long, n int")
+    likely = written(shared.groupBy("x").agg(F.count("*").cast("int").alias("c"), F.first("n").alias("n")).where(F.col("c") * 100 >= F.col("n") * PER_CENT).select("x", "c"), "members")
+    regions = written(regions.join(likely, "x"), "regions")
     found = spark.createDataFrame([], "a long, b long")
     classes = None
-    order = F.xxhash64("x")
-    distance = None
-    for k in range(PIVOTS):
+    best = F.max(F.struct("middle", F.xxhash64("x"), F.col("x").alias("p"), F.col("n").alias("np"), F.col("c").alias("cp")))
+    for _ in range(PIVOTS):
         if classes is not None:
             regions = _open(regions, classes, "regions")
-        pivots = regions.groupBy("h").agg(F.min(F.struct(order.alias("o"), F.col("x").alias("p"), F.col("n").alias("np"))).alias("best")).select("h", "best.p", "best.np")
+        pivots = regions.groupBy("h").agg(best.alias("best")).select("h", "best.p", "best.np", "best.cp")
         met = regions.join(pivots, "h").where("x <> p")
-        pairs = met.groupBy("x", "p").agg(F.first("n").alias("nx"), F.first("np").alias("np"))
+        pairs = met.where(_possible("n", "np", "c", "cp")).groupBy("x", "p").agg(F.first("n").alias("nx"), F.first("np").alias("np"))
         if classes is not None:
             pairs = _apart(pairs, classes)
-        pairs = _measured(pairs.where(_similar_sizes(F.col("nx"), F.col("np"))), sets, "measured")
+        pairs = _measured(pairs, sets, "measured")
         found = found.unionByName(pairs.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b")))
-        # pivots are done; the others take their distance with them
-        if distance is None:
-            regions = met.select("h", "x", "n", F.col("p").alias("pivot"))
-            distance = pairs.select("x", F.col("p").alias("pivot"), "d")
-        else:
-            regions = met.select("h", "x", "n", "pivot")
-        regions = written(regions, "regions")
+        # pivots are done; the others keep their first one
+        if "pivot" not in met.columns:
+            met = met.withColumn("pivot", F.col("p"))
+        regions = written(met.select("h", "x", "n", "middle", "c", "pivot"), "regions")
         classes = components(found, "classes")
-    regions = _open(regions, classes, "regions").join(distance, ["x", "pivot"], "left")
-    other = regions.select("h", F.col("x").alias("p"), F.col("n").alias("np"), F.col("d").alias("dp"))
-    window = F.coalesce(F.abs(F.col("d") - F.col("dp")) <= 0.2 + 1e-9, F.lit(True))
-    left = regions.join(other, "h").where((F.col("x") < F.col("p")) & _similar_sizes(F.col("n"), F.col("np")) & window)
-    pairs = _apart(left.groupBy("x", "p").agg(F.first("n").alias("nx"), F.first("np").alias("np")), classes)
-    pairs = _measured(pairs, sets, "measured")
+    pairs = _measured(_rest(_open(regions, classes, "regions"), classes, sets), sets, "measured")
     return found.unionByName(pairs.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b")))
 
 
+def _rest(regions: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (x, p, nx, np) of different classes that share a region and may still be linked, each once.
+
+    Let x and y be in the region of pivot q, with o = |x & q| and the like. They share min(o_x, o_y) shingles of q at most.
+    Either that is enough by itself, and they lie in each other's window of distances from q; or they share shingles
+    outside q as well, and meet in one of those.
+    """
+    at = _class_of(regions.select("x", "n", "c", "pivot").distinct(), classes, "x", "class")
+    left, right = sets.withColumnRenamed("hashes", "sx"), sets.select(F.col("x").alias("pivot"), F.col("hashes").alias("sp"))
+    kinds = "x long, n int, c int, pivot long, class long, o int, np int, outside array<bigint>"
+    at = written(at.join(left, "x").join(right, "pivot").select("x", "n", "c", "pivot", "class", "sx", "sp").mapInArrow(_against_pivot, kinds), "outside")
+    at = at.withColumn("d", 1 - F.col("o") / (F.col("n") + F.col("np") - F.col("o")))
+    names = ["x", "n", "c", "o", "d", "class"]
+
+    def other(rows):
+        return rows.withColumnsRenamed({k: f"{k}2" for k in names})
+
+    def enough(common):
+        return common * (100 + PER_CENT) >= (F.col("n") + F.col("n2")) * PER_CENT
+
+    apart = (F.col("x") < F.col("x2")) & (F.col("class") != F.col("class2")) & (F.abs(F.col("d") - F.col("d2")) <= 1 - PER_CENT / 100 + 1e-9)
+    within = at.drop("outside", "np")
+    inside = within.join(other(within), "pivot").where(apart & enough(F.least("o", "o2")))
+    ends = at.select("pivot", *names, F.explode("outside").alias("h"))
+    shared = F.least(F.col("c") - F.col("o"), F.col("c2") - F.col("o2"))
+    outside = ends.join(other(ends), ["pivot", "h"]).where(apart & (shared > 0) & enough(F.least("o", "o2") + shared))
+    outside = outside.groupBy("pivot", "x", "x2").agg(*[F.first(k).alias(k) for k in ("n", "n2", "o", "o2")], F.count("*").alias("e")).where(enough(F.least("o", "o2") + F.col("e")))
+    pairs = inside.select("x", "x2", "n", "n2").unionByName(outside.select("x", "x2", "n", "n2"))
+    return pairs.groupBy("x", F.col("x2").alias("p")).agg(F.first("n").alias("nx"), F.first("n2").alias("np"))
+
+
+def _against_pivot(batches):
+    """How many shingles a set shares with its pivot, the pivot's size, and the shingles it does not share."""
+    for batch in batches:
+        common, sizes, outside = [], [], []
+        for a, b in zip(batch.column("sx"), batch.column("sp")):
+            a, b = np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64)
+            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+            same = b[at] == a
+            common.append(int(same.sum()))
+            sizes.append(len(b))
+            outside.append(a[~same])
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("x", "n", "c", "pivot", "class")] + [pa.array(common, pa.int32()), pa.array(sizes, pa.int32()), pa.array(outside, pa.list_(pa.int64()))],
+                                         names=["x", "n", "c", "pivot", "class", "o", "np", "outside"])
+
+
 def _class_of(rows: DataFrame, classes: DataFrame, key: str, name: str) -> DataFrame:
     return rows.join(classes.select(F.col("node").alias(key), F.col("component").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
 
