@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +36,23 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once a session, so that they can import it wherever the driver found it."""
+    context = spark.sparkContext
+    if context not in _shipped:
+        folder = tempfile.mkdtemp(prefix="loyalscope-")
+        root = pathlib.Path(__file__).resolve().parents[2]
+        context.addPyFile(shutil.make_archive(f"{folder}/loyalscope-package", "zip", root, "loyalscope"))
+        _shipped.add(context)
+
+
+_shipped: set = set()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
