@@ -36,6 +36,23 @@ def one_hot(spark, sf_dir):
     return features.one_hot(rows, list(schema.LEVELS))
 
 
+_DOTTED = "CASE WHEN PaymentMethod = 'Mailed check' THEN 'Co. card' ELSE PaymentMethod END"
+_DOTTED_LEVELS = sorted(["Co. card"] + [v for v in schema.LEVELS["PaymentMethod"] if v != "Mailed check"])
+
+
+@query("f3_one_hot_dotted", f"SELECT customerID, Contract, " + ", ".join(f"p = '{v}' AS \"PaymentMethod_{v}\"" for v in _DOTTED_LEVELS)
+       + ", " + ", ".join(f"Contract = '{v}' AS \"Contract_{v}\"" for v in schema.LEVELS["Contract"]) + f" FROM (SELECT *, {_DOTTED} AS p FROM sub)")
+def one_hot_dotted(spark, sf_dir):
+    """A value with a dot in it gives a column with a dot in its name, which later steps take as it is."""
+    rows = raw(spark, sf_dir).select("customerID", "Contract", F.expr(_DOTTED).alias("PaymentMethod"))
+    return features.one_hot(cleaning.trim_strings(features.one_hot(rows, ["PaymentMethod"])), ["Contract"], keep=["Contract"])
+
+
+@query("f3_one_hot_long", " UNION ALL ".join(f"SELECT customerID, '{c}' AS \"column\", {c} AS level FROM sub" for c in schema.LEVELS))
+def one_hot_long(spark, sf_dir):
+    return features.one_hot_long(raw(spark, sf_dir), "customerID", list(schema.LEVELS))
+
+
 @query("f4_reverse_one_hot", "SELECT customerID, Contract, InternetService, PaymentMethod FROM sub")
 def reverse_one_hot(spark, sf_dir):
     rows = features.one_hot(raw(spark, sf_dir), schema.LABEL_COLUMNS, schema.LEVELS)

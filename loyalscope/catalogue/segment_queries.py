@@ -8,7 +8,8 @@ from loyalscope import schema
 from loyalscope.catalogue.base import cleaned, offered, query, raw, scored, table
 from loyalscope.functions import percent_text
 from loyalscope.operators import quality, segments
-from loyalscope.sources.eventlog import as_access_log
+from loyalscope.session import scratch_path
+from loyalscope.sources.eventlog import as_access_log, read_access_log
 
 
 @query("p1_keep_columns", "SELECT customerID, Contract, MonthlyCharges, tenure, Churn FROM feat")
@@ -124,7 +125,26 @@ def event_log(spark, sf_dir):
     return as_access_log(table(spark, sf_dir, "events"))
 
 
-@query("t6_latest_events", f"""SELECT * FROM ({_LOG}) WHERE event = 'error' ORDER BY timestamp DESC, event_id DESC LIMIT 100""")
+@query("s11_log_file", f"""SELECT timestamp, username, 'user' AS role, event, detail, 'localhost' AS ip FROM ({_LOG})""")
+def log_file(spark, sf_dir):
+    """The events written as a log file, and scanned like one."""
+    path = scratch_path(spark, "log")
+    log = as_access_log(table(spark, sf_dir, "events")).select(
+        "timestamp", "username", F.lit("user").alias("role"), "event", "detail", F.lit("localhost").alias("ip"))
+    log.write.option("header", True).option("escape", '"').csv(path)
+    scanned = read_access_log(spark, path)
+    return scanned.withColumn("timestamp", F.date_format("timestamp", schema.LOG_TIME_FORMAT))
+
+
+# every seventh event reports late: its time lies three days before that of its arrival
+_LATE = _LOG.replace("strftime(ts,", "strftime(CASE WHEN event_id % 7 = 0 THEN ts - INTERVAL 3 DAY ELSE ts END,")
+
+
+@query("t6_latest_events", f"""SELECT * FROM (SELECT * FROM ({_LATE}) WHERE event = 'error' ORDER BY event_id DESC LIMIT 100)
+    ORDER BY timestamp DESC, event_id DESC""")
 def latest_events(spark, sf_dir):
-    log = segments.filter_segment(as_access_log(table(spark, sf_dir, "events")), equals={"event": "error", "username": segments.ALL})
+    """The last rows to arrive, late ones included, by their own time."""
+    late = F.when(F.col("event_id") % 7 == 0, F.col("ts") - F.expr("INTERVAL 3 DAYS")).otherwise(F.col("ts"))
+    events = table(spark, sf_dir, "events").withColumn("ts", late)
+    log = segments.filter_segment(as_access_log(events), equals={"event": "error", "username": segments.ALL})
     return segments.latest_n(log, "timestamp", "event_id", 100)

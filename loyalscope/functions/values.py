@@ -7,6 +7,11 @@ from pyspark.sql import Column, functions as F, types as T
 _SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
+def quoted(name: str) -> str:
+    """A column's name as one part, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
     return F.btrim(c, F.lit(_SPACES))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from loyalscope.functions import finite, is_blank, number, strip, zero_if_missing
+from loyalscope.functions import finite, is_blank, number, quoted, strip, zero_if_missing
 from loyalscope.operators.quantiles import medians
 
 
@@ -44,14 +44,14 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> D
 def zero_fill(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """The columns in the given order, nulls as 0 and absent ones added as 0, behind the kept columns."""
     present = set(df.columns)
-    filled = [(zero_if_missing(F.col(c)) if c in present else F.lit(0)).alias(c) for c in cols]
-    return df.select(*[k for k in keep if k not in cols], *filled)
+    filled = [(zero_if_missing(F.col(quoted(c))) if c in present else F.lit(0)).alias(c) for c in cols]
+    return df.select(*[F.col(quoted(k)) for k in keep if k not in cols], *filled)
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Strip every string column."""
     return df.select(*[
-        strip(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        strip(F.col(quoted(f.name))).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(quoted(f.name))
         for f in df.schema
     ])
 

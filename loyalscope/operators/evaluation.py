@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loyalscope.functions import finite
-from loyalscope.session import measured
-
-DEPTH = 10  # score ranges: 2**DEPTH
+from loyalscope.session import written
 
 
 def confusion(scored: DataFrame, by: Sequence[str] = (), label: str = "label",
@@ -44,30 +42,17 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = (), label: str = "label", sco
     """Exact area under the ROC curve, tied scores counting one half.
 
     The probability that a positive outranks a negative needs an ordering of all scores, but not in
-    one place: a sketch cuts the scores into ranges of about equal size, each range is ordered on
-    its own, and only the ranges' totals (at most 2**DEPTH per model) are accumulated.
-    Null when a model has only one class.
+    one place: equal scores are one row before the shuffle, those rows are cut into ranges by Spark's own
+    sampling and written once, each range is ordered on its own, and only the ranges' totals are
+    accumulated. There are as many ranges as the planner makes partitions, so they grow with the data.
+    Starts that writing job when it is called. Null when a model has only one class.
     """
     by = list(by)
     rows = scored.select(*by, F.col(label).alias("label"), finite(F.col(score).cast("double")).alias("score"))
     rows = rows.where(F.col("score").isNotNull() & F.col("label").isNotNull())
-
-    size = 2 ** DEPTH
-    points = [i / size for i in range(1, size)]
-    cuts = rows.groupBy(*by).agg(F.percentile_approx("score", points, 10 * size).alias("cuts"))
-    if by:
-        cuts = measured(cuts.select(*[F.col(c).alias(f"_{c}") for c in by], "cuts"))
-        placed = rows.join(cuts, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
-    else:
-        placed = rows.withColumn("cuts", cuts.scalar())
-    # binary search: how many cuts lie below the score
-    steps = F.array(*[F.lit(2 ** k) for k in reversed(range(DEPTH))])
-    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        F.get("cuts", at + step - 1) < F.col("score"), at + step).otherwise(at))
-
     positive, negative = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
-    ties = placed.withColumn("range", below).groupBy(*by, "range", "score").agg(
-        positive.alias("pos"), negative.alias("neg"))
+    ties = rows.groupBy(*by, "score").agg(positive.alias("pos"), negative.alias("neg"))
+    ties = written(ties.repartitionByRange(*by, "score").withColumn("range", F.spark_partition_id()), "ties")
     inside = Window.partitionBy(*by, "range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     beaten = F.coalesce(F.sum("neg").over(inside), F.lit(0)) + F.col("neg") / 2
     ranges = ties.withColumn("won", F.col("pos") * beaten).groupBy(*by, "range").agg(

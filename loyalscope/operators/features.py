@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from loyalscope import schema
-from loyalscope.functions import binary_code, flag, from_dummies, labelled_bin, open_bin, round_even
+from loyalscope.functions import binary_code, flag, from_dummies, labelled_bin, open_bin, quoted, round_even
 
 MAX_LEVELS = 1_000
 
@@ -24,8 +24,8 @@ def find_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS
     The values become column names, so there may be only ``max_levels`` of them in all; more is an error.
     """
     pairs = (
-        df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-        .unpivot([], list(cols), "col", "level").where(F.col("level").isNotNull()).distinct()
+        df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in cols])
+        .unpivot([], [F.col(quoted(c)) for c in cols], "col", "level").where(F.col("level").isNotNull()).distinct()
         .limit(max_levels + 1).collect()
     )
     if len(pairs) > max_levels:
@@ -34,17 +34,25 @@ def find_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS
 
 
 def one_hot(df: DataFrame, cols: Sequence[str], levels: Mapping[str, Sequence] | None = None,
-            keep: Sequence[str] = ()) -> DataFrame:
+            keep: Sequence[str] = (), max_levels: int = MAX_LEVELS) -> DataFrame:
     """Replace each column by a boolean ``column_level`` per level; null is false in all of them.
 
-    Columns in ``keep`` also stay as text. Without given levels one extra job finds them.
+    Columns in ``keep`` also stay as text. Without given levels one extra job finds them, and fails
+    beyond ``max_levels`` of them; ``one_hot_long`` has no such limit.
     """
-    levels = levels or find_levels(df, cols)
-    plain = [F.col(c) for c in df.columns if c not in cols or c in keep]
-    dummies = [F.col(c).cast("string").eqNullSafe(F.lit(str(v))).alias(f"{c}_{v}") for c in cols for v in levels[c]]
+    levels = levels or find_levels(df, cols, max_levels)
+    plain = [F.col(quoted(c)) for c in df.columns if c not in cols or c in keep]
+    dummies = [F.col(quoted(c)).cast("string").eqNullSafe(F.lit(str(v))).alias(f"{c}_{v}") for c in cols for v in levels[c]]
     return df.select(*plain, *dummies)
 
 
+def one_hot_long(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Rows (key, column, level) for every non-null value: one-hot for columns of any number of values, in one scan."""
+    values = df.select(F.col(quoted(key)).alias(key), *[F.col(quoted(c)).cast("string").alias(c) for c in cols])
+    long = values.unpivot([F.col(quoted(key))], [F.col(quoted(c)) for c in cols], "column", "level")
+    return long.where(F.col("level").isNotNull())
+
+
 def decode_one_hot(df: DataFrame, prefix: str, levels: Sequence[str] | None = None,
                    strict: bool = False) -> DataFrame:
     """Rebuild the label column from its dummies; a label column that is already there is left alone."""
@@ -53,7 +61,7 @@ def decode_one_hot(df: DataFrame, prefix: str, levels: Sequence[str] | None = No
     start = f"{prefix}_"
     if levels is None:
         levels = [c[len(start):] for c in df.columns if c.startswith(start) and not c.endswith("_encoded")]
-    dummies = [(v, F.col(f"`{start}{v}`")) for v in levels if f"{start}{v}" in df.columns]
+    dummies = [(v, F.col(quoted(f"{start}{v}"))) for v in levels if f"{start}{v}" in df.columns]
     return df.withColumn(prefix, from_dummies(dummies, strict)) if dummies else df
 
 

@@ -12,11 +12,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loyalscope import schema
-from loyalscope.functions import risk_band, round_even
+from loyalscope.functions import quoted, risk_band, round_even
 from loyalscope.operators.cleaning import impute_median
 from loyalscope.operators.quality import rows_of
 from loyalscope.operators.segments import drop_incomplete
-from loyalscope.session import checkpointing
+from loyalscope.session import checkpointing, written
 
 SEED = 42
 HOLDOUT = 0.2
@@ -47,9 +47,9 @@ def _spread(key: str, seed: int) -> Column:
     return F.xxhash64(F.col(key), F.lit(seed))
 
 
-def _holdout_quota(df: DataFrame, label: str, fraction: float) -> Column:
+def _holdout_quota(counts: DataFrame, fraction: float) -> Column:
     """How many rows of classes 0 and 1 are held out: the rounded-up total, shared by largest remainder."""
-    sizes = df.agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
+    sizes = counts.agg(*[F.coalesce(F.sum(F.when(F.col("class") == k, F.col("n"))), F.lit(0)).alias(f"n{k}") for k in (0, 1)])
     shares = (
         sizes.withColumn("wanted", F.ceil((F.col("n0") + F.col("n1")) * F.lit(fraction)))
         .withColumns({f"exact{k}": F.try_divide(F.col("wanted") * F.col(f"n{k}"), F.col("n0") + F.col("n1")) for k in (0, 1)})
@@ -64,22 +64,24 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = schema.KEY,
                      seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(train, test): within each class of a 0/1 label the smallest key hashes are held out, an exact share.
 
-    The cut in each class is found from counts per hash range, so no class is ever ordered as a
-    whole. Rows of one class with the same key stay on the same side, so a repeated key at the cut
-    makes the held-out share that much larger.
+    The cut in each class is found from counts per hash range (class sizes are their sums) and then
+    among the rows of one range per class, so no class is ever ordered as a whole; that range grows with
+    the data, at 1/65,536 of its class. Both scans run when this is called, and the two sides share the
+    one-row table of cuts. Rows of one class with the same key stay on the same side, so a repeated key
+    at the cut makes the held-out share that much larger.
     """
     hashed = df.where(F.col(label).isin(0, 1)).select(
         F.col(label).alias("class"), _spread(key, seed).alias("hash"), F.col(key).alias("key"))
     # 2**16 even ranges of the hash, in hash order
     ranged = hashed.withColumn("range", F.shiftright("hash", 48))
-    quotas = _holdout_quota(df, label, fraction)
+    counts = written(ranged.groupBy("class", "range").agg(F.count("*").alias("n")), "ranges")
+    quotas = _holdout_quota(counts, fraction)
     quota = F.when(F.col("class") == 1, F.col("_quotas.q1")).otherwise(F.col("_quotas.q0"))
 
     upto = Window.partitionBy("class").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     crosses = (F.col("after") >= quota) & (F.col("after") - F.col("n") < quota)
     crossing = (  # one row per class
-        ranged.groupBy("class", "range").agg(F.count("*").alias("n"))
-        .withColumn("after", F.sum("n").over(upto.orderBy("range"))).withColumn("_quotas", quotas).where(crosses)
+        counts.withColumn("after", F.sum("n").over(upto.orderBy("range"))).withColumn("_quotas", quotas).where(crosses)
         .select(F.col("class").alias("_class"), F.col("range").alias("_range"),
                 (F.col("after") - F.col("n")).alias("before"), "_quotas")
     )
@@ -88,7 +90,7 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = schema.KEY,
         .groupBy("class", "before", "_quotas", "hash", "key").agg(F.count("*").alias("n"))
         .withColumn("after", F.col("before") + F.sum("n").over(upto.orderBy("hash", "key"))).where(crosses)
     )
-    cuts = edge.agg(F.map_from_entries(F.collect_list(F.struct("class", F.struct("hash", "key"))))).scalar()
+    cuts = written(edge.agg(F.map_from_entries(F.collect_list(F.struct("class", F.struct("hash", "key")))).alias("cuts")), "cuts").scalar()
     mark = F.struct(_spread(key, seed).alias("hash"), F.col(key).alias("key"))
     held_out = F.coalesce(mark <= cuts[F.col(label)], F.lit(False))
     return df.where(~held_out), df.where(held_out)
@@ -134,12 +136,13 @@ def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str]
     """Fit the named learners on one cached, weighted training set.
 
     Trees shuffle a block of statistics per partition and level, so a very large set with far more
-    partitions than tasks that run at once should be narrowed to ``partitions``.
+    partitions than tasks that run at once should be dealt to ``partitions``, by a shuffle, so that the
+    scan before it keeps its own tasks.
     """
     if not models:
         return {}
     checkpointing(train.sparkSession)
-    weighted = balanced_weights(train if partitions is None else train.coalesce(partitions)).persist()
+    weighted = balanced_weights(train if partitions is None else train.repartition(partitions)).persist()
     try:
         plans = estimators(features, weighted.count(), settings, seed)
         return {name: plans[name].fit(weighted) for name in models}
@@ -150,18 +153,17 @@ def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str]
 def probability(df: DataFrame, model: PipelineModel, out: str = "score") -> DataFrame:
     """Add the unrounded probability of churn; the model's own columns are dropped again."""
     scored = model.transform(df)
-    return scored.select(*df.columns, vector_to_array(F.col("probability"))[1].alias(out))
+    return scored.select(*[F.col(quoted(c)) for c in df.columns], vector_to_array(F.col("probability"))[1].alias(out))
 
 
 def predictions(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFrame:
-    """(model, label, prediction, score) of every model on the same rows."""
-    out = None
-    for name, model in models.items():
-        part = probability(test, model).select(
-            F.lit(name).alias("model"), "label",
-            (F.col("score") >= schema.CHURN_THRESHOLD).cast("int").alias("prediction"), "score")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(model, label, prediction, score) of every model on the same rows, which are read once."""
+    rows = test
+    for i, model in enumerate(models.values()):
+        rows = probability(rows, model, f"_score_{i}")
+    each = [F.struct(F.lit(name).alias("model"), F.col("label"), (F.col(f"_score_{i}") >= schema.CHURN_THRESHOLD).cast("int").alias("prediction"),
+                     F.col(f"_score_{i}").alias("score")) for i, name in enumerate(models)]
+    return rows.select(F.inline(F.array(*each)))
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -209,7 +211,7 @@ def score(df: DataFrame, model: PipelineModel, fill: str = "median", approx: boo
     absent = [c for c in features if c not in df.columns]
     if absent and fill == "median":
         raise ValueError(f"features missing from the batch: {absent}")
-    original = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    original = F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("_row")
     inputs = [(F.col(c) if c in df.columns else F.lit(0)).cast("double").alias(c) for c in features]
     rows = df.select(original, *inputs)
     rows = impute_median(rows, features, approx) if fill == "median" else rows.select(

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loyalscope import schema
-from loyalscope.functions import finite, zero_if_missing
+from loyalscope.functions import finite, quoted, zero_if_missing
 from loyalscope.operators.reports import value_counts
 
 # What an absent column counts as, and the rules in order of precedence
@@ -71,7 +71,7 @@ def recommend(df: DataFrame, rules: list[Rule] = RULES, with_priority: bool = Fa
         offers = offers.drop("priority")
     chosen = df.withColumn("OfferID", offer_id(df, rules))
     return chosen.join(F.broadcast(offers), "OfferID", "left").select(
-        *df.columns, *[c for c in offers.columns])
+        *[F.col(quoted(c)) for c in df.columns], *offers.columns)
 
 
 def offer_distribution(df: DataFrame) -> DataFrame:

@@ -1,37 +1,75 @@
 """Exact quantiles without a sort and without holding a column's values in one place.
 
-Spark's own exact ``percentile`` keeps every distinct value of a group in the memory of one task.
-Here a bounded sketch first finds a narrow band around each wanted quantile. A second pass keeps
-the values inside the bands (about 0.01 % of the rows each) and only counts those between them, so
-what is finally ordered is tiny whatever the number of rows, and heavy ties collapse to one row
-before the shuffle.
+Spark's own exact ``percentile`` keeps every distinct value of a group in the memory of one task, and
+sketches of many partitions have to be merged in one. Here three passes narrow down on the wanted ranks
+by counting: rows per bucket of the value's logarithm, then rows per even slice of the buckets that
+hold a wanted rank, then rows per value in the slices that do. Counts are summed before the shuffle and
+spread over the tasks by bucket, so a task gets at most one row per partition for each of its buckets;
+running totals go over bucket counts alone, the values of one slice at most. Whatever the values are,
+the ranks found are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loyalscope.functions import finite
 from loyalscope.session import measured
 
-ACCURACY = 100_000  # sketch: rank error at most 1/ACCURACY of the rows
-MARGIN = 5  # half width of a band, as a multiple of that error
+ACCURACY = 100_000  # of the sketch that approximate answers come from
+PER_E = 22  # buckets for each factor of e: about 33,000 for either sign cover all doubles
+SLICES = 65_536  # even slices of a bucket
 
 
 def quantile_name(p: float) -> str:
     return f"q{p * 100:g}".replace(".", "_")
 
 
+def _bucket(value: Column) -> Column:
+    """A whole number that never falls as the value rises: the logarithm of its size, in steps. 0 is in the middle."""
+    size = F.abs(value)
+    step = F.when(size == float("inf"), F.lit(40_000)).otherwise(F.floor(F.log(size) * PER_E).cast("int") + 20_000)
+    return F.when(value == 0, F.lit(0)).when(value > 0, step).otherwise(-step)
+
+
+def _slice(value: Column) -> Column:
+    """Which even slice between the columns least and most a value lies in; never falls as the value rises."""
+    part = F.floor((value - F.col("least")) / (F.col("most") - F.col("least")) * SLICES).cast("int")
+    return F.when(F.col("least") == F.col("most"), F.lit(0)).otherwise(part)
+
+
+def _ranks(probs: Sequence[float], total: Column) -> Column:
+    """The ranks just below and above each wanted position, from 0."""
+    ends = [f(_position(p, total)).cast("bigint") for p in probs for f in (F.floor, F.ceil)]
+    return F.array_distinct(F.array(*ends))
+
+
+def _holding(counts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Of counted parts, in order within the keys, those with wanted ranks; `before` rows come before each."""
+    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    here = F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
+    return placed.withColumn("here", here).where(F.size("here") > 0)
+
+
+def _beside(values: DataFrame, parts: DataFrame, by: Sequence[str], on: Sequence[str]) -> DataFrame:
+    """Values that lie in the parts. There are two parts at most for each wanted quantile and (by..., feature)."""
+    side = parts.select(*[F.col(k).alias(f"_{k}") for k in [*by, *on]], *[c for c in parts.columns if c not in (*by, *on)])
+    # without groups the parts are as many as the columns and quantiles asked for; with groups their size is measured
+    side = measured(side) if by else F.broadcast(side)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by] + [F.col(k) == F.col(f"_{k}") for k in on]
+    return values.join(side, same).drop(*[f"_{k}" for k in [*by, *on]])
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = (), approx: bool = False, accuracy: int = ACCURACY) -> DataFrame:
     """Linear-interpolated quantiles: a row per (by..., feature), a column per probability.
 
-    Null and NaN values are left out; a group without values has no row. ``approx`` answers from
-    the sketch alone, in one pass.
+    Null and NaN values are left out; a group without values has no row. Grouped quantiles write
+    their two tables of parts when the plan is built. ``approx`` answers from a sketch, in one pass;
+    its merge is one task per group and column.
     """
     by, probs = list(by), sorted(probs)
     values = (
@@ -45,60 +83,33 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         sketch = values.groupBy(*keys).agg(picks.alias("picks"))
         return sketch.select(*keys, *[F.col("picks")[i].alias(quantile_name(p)) for i, p in enumerate(probs)])
 
-    margin = MARGIN / accuracy
-    ends = [end for p in probs for end in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = values.groupBy(*keys).agg(F.percentile_approx("value", ends, accuracy).alias("ends"))
-    sketch = sketch.select(*[F.col(k).alias(f"_{k}") for k in keys], "ends")
-    # without groups the sketch has one row per column; with groups its size is measured
-    sketch = measured(sketch) if by else F.broadcast(sketch)
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by] + [F.col("feature") == F.col("_feature")]
-    joined = values.join(sketch, same)
-
-    value = F.col("value")
-    bands = [(F.col("ends")[2 * i], F.col("ends")[2 * i + 1]) for i in range(len(probs))]
-    inside = reduce(or_, [value.between(low, high) for low, high in bands])
-    gap = reduce(add, [F.when(value > high, 1).otherwise(0) for _, high in bands])  # how many bands lie below
-    counted = (
-        joined.select(*keys, "value", F.when(inside, value).alias("kept"), F.when(~inside, gap).alias("gap"))
-        .groupBy(*keys, "kept", "gap")
-        .agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
-    )
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("least").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        counted.withColumn("after", F.sum("n").over(upto))
-        .withColumn("before", F.col("after") - F.col("n"))
-        .withColumn("total", F.sum("n").over(group))
-    )
-    return (
-        ranked.groupBy(*keys)
-        .agg(*[_at(p, side).alias(f"_{i}_{side}") for i, p in enumerate(probs) for side in ("low", "high")],
-             F.max("total").alias("_total"))
-        .select(*keys, *[_between(i, p).alias(quantile_name(p)) for i, p in enumerate(probs)])
-    )
+    sums = [F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most")]
+    bucketed = values.withColumn("bucket", _bucket(F.col("value")))
+    total = F.sum("n").over(Window.partitionBy(*keys))
+    buckets = bucketed.groupBy(*keys, "bucket").agg(*sums).withColumns({"total": total, "before": F.lit(0)})
+    buckets = _holding(buckets.withColumn("ranks", _ranks(probs, F.col("total"))), keys, "bucket")
+    buckets = buckets.select(*keys, "bucket", "least", "most", "before", "total", "ranks")
 
+    sliced = _beside(bucketed, buckets, by, ["feature", "bucket"]).withColumn("slice", _slice(F.col("value")))
+    carried = ["before", "total", "ranks"]
+    slices = sliced.groupBy(*keys, "bucket", "slice").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in carried])
+    slices = _holding(slices, [*keys, "bucket"], "slice").select(*keys, "bucket", "slice", *carried)
 
-def _position(p: float, total: str) -> Column:
-    return (F.col(total) - 1).cast("double") * F.lit(float(p))
+    valued = _beside(sliced.drop(*carried), slices, by, ["feature", "bucket", "slice"])
+    exact = valued.groupBy(*keys, "bucket", "slice", "value").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in carried])
+    exact = _holding(exact, [*keys, "bucket", "slice"], "value")
+    found = exact.select(*keys, "total", "value", F.explode("here").alias("rank")).groupBy(*keys).agg(
+        F.first("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))  # two per probability
+    return found.select(*keys, *[_between(p).alias(quantile_name(p)) for p in probs])
 
 
-def _at(p: float, side: str) -> Column:
-    """The value at the rank just below or just above the wanted position."""
-    position = _position(p, "total")
-    rank = (F.floor(position) if side == "low" else F.ceil(position)).cast("bigint")
-    here = (F.col("before") <= rank) & (rank < F.col("after"))
-    known = (
-        F.when(F.col("least") == F.col("most"), F.col("least"))
-        .when(rank == F.col("before"), F.col("least"))
-        .when(rank == F.col("after") - 1, F.col("most"))
-        .otherwise(F.raise_error(F.lit("quantile fell outside its band; raise the accuracy")).cast("double"))
-    )
-    return F.max(F.when(here, known))
+def _position(p: float, total: Column) -> Column:
+    return (total - 1).cast("double") * F.lit(float(p))
 
 
-def _between(i: int, p: float) -> Column:
-    low, high = F.col(f"_{i}_low"), F.col(f"_{i}_high")
-    position = _position(p, "_total")
+def _between(p: float) -> Column:
+    position = _position(p, F.col("total"))
+    low, high = (F.col("at")[f(position).cast("bigint")] for f in (F.floor, F.ceil))
     # equal neighbours, two infinities for instance, need no arithmetic
     return F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
 

@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loyalscope import schema
+from loyalscope.functions import quoted
 
 ALL = "All"
 
 
 def keep_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """The listed columns that exist, in the listed order."""
-    return df.select(*[c for c in keep if c in df.columns])
+    return df.select(*[F.col(quoted(c)) for c in keep if c in df.columns])
 
 
 def filter_segment(df: DataFrame, equals: Mapping | None = None, ranges: Mapping | None = None,
@@ -67,9 +68,9 @@ def last_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in order]).limit(n).orderBy(*order)
 
 
-def latest_n(df: DataFrame, time: str, key: str, n: int) -> DataFrame:
-    """The n newest rows, newest first."""
-    return df.orderBy(F.desc(time), F.desc(key)).limit(n)
+def latest_n(df: DataFrame, time: str, arrival: str, n: int) -> DataFrame:
+    """The n rows that arrived last, newest time first; a row that arrived late may be an old one."""
+    return df.orderBy(F.desc(arrival)).limit(n).orderBy(F.desc(time), F.desc(arrival))
 
 
 def drop_incomplete(df: DataFrame, cols: Sequence[str]) -> DataFrame:

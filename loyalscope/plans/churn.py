@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loyalscope import schema
 from loyalscope.functions import binary_code, flag, revenue_category
 from loyalscope.operators import cleaning, evaluation, features, learning, offers, quality
-from loyalscope.session import written
+from loyalscope.session import cleanup, last_written, written, written_so_far
 from loyalscope.sources import artifacts, files, tables
 
 
-def one_hot_levels(raw: DataFrame) -> dict[str, list]:
-    """The values the one-hot columns have in the data, from one narrow scan."""
-    return features.find_levels(cleaning.trim_strings(raw.select(*schema.LEVELS)), list(schema.LEVELS))
+def one_hot_levels(raw: DataFrame, max_levels: int = features.MAX_LEVELS) -> dict[str, list]:
+    """The values the one-hot columns have in the data, from one narrow scan; more than ``max_levels`` are an error."""
+    return features.find_levels(cleaning.trim_strings(raw.select(*schema.LEVELS)), list(schema.LEVELS), max_levels)
 
 
 def encode(cleaned: DataFrame, levels: dict | None = None) -> DataFrame:
@@ -41,14 +41,15 @@ def engineer(encoded: DataFrame, max_from: DataFrame | None = None) -> DataFrame
     return features.normalise_by_max(out, "tenure", "LoyaltyScore", max_from=max_from)
 
 
-def transform(raw: DataFrame, levels: dict | None = None, approx: bool = False) -> DataFrame:
+def transform(raw: DataFrame, levels: dict | None = None, approx: bool = False,
+              max_levels: int = features.MAX_LEVELS) -> DataFrame:
     """Clean, encode and engineer as one lazy plan.
 
     Dropping duplicates changes neither the longest tenure nor the set of values to encode, so both
     are read off the raw rows: few columns, no shuffle of whole rows. Give ``levels`` (for instance
     ``schema.LEVELS``) for columns that do not depend on the data, and to save that job.
     """
-    levels = levels or one_hot_levels(raw)
+    levels = levels or one_hot_levels(raw, max_levels)
     return engineer(encode(cleaning.clean(raw, approx=approx), levels), max_from=raw)
 
 
@@ -75,6 +76,7 @@ class Training:
     metrics: DataFrame
     best: str
     importance: DataFrame
+    metrics_path: str = ""
 
     @property
     def model(self) -> PipelineModel:
@@ -87,8 +89,10 @@ def train(rows: DataFrame, models=tuple(learning.MODELS), settings: dict | None
     """Prepare, split, fit, evaluate and choose; models already ``fitted`` on the same rows are taken as they are.
 
     The prepared rows are written once, because the split reads them several times, and so are the
-    held-out scores, which the metrics read three times.
+    held-out scores, which the metrics read three times. Of what was written on the way only the metrics
+    stay, as the result reads them.
     """
+    start = written_so_far()
     prepared = learning.prepare(rows)
     training, test = learning.stratified_split(written(prepared.rows, "prepared"), seed=seed)
     missing = [m for m in models if m not in (fitted or {})]
@@ -96,8 +100,10 @@ def train(rows: DataFrame, models=tuple(learning.MODELS), settings: dict | None
     every = {m: every[m] for m in models}
     scores = written(learning.predictions(every, test), "held-out")
     metrics = written(evaluation.evaluate(scores), "metrics")
+    path = last_written()
+    cleanup(rows.sparkSession, start, keep=[path])
     best = evaluation.select_best(metrics, models).first()["model"]
-    return Training(every, metrics, best, learning.importance(every[best], rows.sparkSession))
+    return Training(every, metrics, best, learning.importance(every[best], rows.sparkSession), path)
 
 
 def score_profiles(profiles: DataFrame, model: PipelineModel) -> DataFrame:
@@ -120,6 +126,8 @@ class RunConfig:
     models: tuple[str, ...] = tuple(learning.MODELS)
     training_partitions: int | None = None
     levels: dict[str, list] | None = None  # one-hot values; None takes them from the data
+    max_levels: int = features.MAX_LEVELS  # so many one-hot columns at most, or the run fails
+    database: tables.Database | None = None  # both tables go there as well
     approx: bool = False
 
     def path(self, name: str) -> str:
@@ -140,15 +148,20 @@ def run(spark: SparkSession, config: RunConfig, raw: DataFrame | None = None) ->
 
     The transformed rows are written once and read back by training, scoring and loading, which
     also keeps the run restartable when executors are lost. Without a trained model scoring is
-    skipped and the transformed rows are loaded.
+    skipped and the transformed rows are loaded. All results are read from the run's folder; other tables
+    written on the way are removed, but for the metrics of the training.
     """
+    start = written_so_far()
     if raw is None:
         raw = files.read_raw(spark, config.source, config.source_format)
     raw = files.snapshot(files.require_columns(raw, schema.RAW.fieldNames()), config.path("backup"))
 
-    files.write_parquet(transform(raw, config.levels, config.approx), config.path("processed"))
+    files.write_parquet(transform(raw, config.levels, config.approx, config.max_levels), config.path("processed"))
     processed = spark.read.parquet(config.path("processed"))
-    intake, report = quality.intake_report(raw, schema.LABEL), quality.validate(processed, schema.LABEL)
+    # written, so that a later run into the same folder can't change what this one found
+    files.write_parquet(quality.intake_report(raw, schema.LABEL), config.path("intake"))
+    files.write_parquet(quality.validate(processed, schema.LABEL), config.path("report"))
+    intake, report = (spark.read.parquet(config.path(name)) for name in ("intake", "report"))
 
     training = None
     if config.with_training:
@@ -167,6 +180,9 @@ def run(spark: SparkSession, config: RunConfig, raw: DataFrame | None = None) ->
 
     if config.with_tables:
         tables.load_tables(final, raw, config.table_prefix, config.path("tables"))
+    if config.database:
+        tables.load_database(final, raw, config.database, config.table_prefix)
     if config.with_light_run:
         files.write_csv(light_transform(raw), config.path("light"))
+    cleanup(spark, start, keep=[training.metrics_path] if training else [])
     return RunResult(final, intake, report, training, scored)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,14 +33,46 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder:
+        _warn_if_local(context, folder)
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="loyalscope-")
     context.setCheckpointDir(folder)
     return folder
 
 
+def _warn_if_local(context, folder: str) -> None:
+    """A folder of the driver's machine serves a cluster only if it is mounted on all of its machines."""
+    if not context.master.startswith("local"):
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(context._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
+            warnings.warn(f"{folder} is in a local file system; every executor has to see the same files there", stacklevel=3)
+
+
+_WRITTEN: list[str] = []
+
+
+def cleanup(spark: SparkSession, start: int = 0, keep: Sequence[str] = ()) -> None:
+    """Remove the tables that `written` has written, from the one numbered `start` on, but for the paths in ``keep``.
+
+    Frames that read them can't be used any more.
+    """
+    for path in [p for p in _WRITTEN[start:] if p not in keep]:
+        _WRITTEN.remove(path)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written_so_far() -> int:
+    """How many written tables there are: what `cleanup` takes as ``start``."""
+    return len(_WRITTEN)
+
+
+def last_written() -> str:
+    return _WRITTEN[-1]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/loyalscope/{name}-{uuid.uuid4().hex[:12]}"
@@ -56,6 +90,7 @@ def written(table: DataFrame, name: str = "table") -> DataFrame:
     not even when an executor is lost."""
     path = scratch_path(table.sparkSession, name)
     table.write.parquet(path)
+    _WRITTEN.append(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 

@@ -13,7 +13,7 @@ def read_access_log(spark: SparkSession, path: str) -> DataFrame:
     """All log rows; no rows when nothing has been logged yet."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema.ACCESS_LOG)
-    return (spark.read.schema(schema.ACCESS_LOG).option("header", True)
+    return (spark.read.schema(schema.ACCESS_LOG).option("header", True).option("escape", '"')
             .option("timestampFormat", schema.LOG_TIME_FORMAT).csv(path))
 
 

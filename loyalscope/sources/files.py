@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loyalscope import schema
-from loyalscope.functions import finite
+from loyalscope.functions import finite, quoted
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -35,7 +35,7 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[
-        finite(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        finite(F.col(quoted(f.name))).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(quoted(f.name))
         for f in df.schema])
 
 
@@ -99,6 +99,6 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
 
 def export(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
     """Write the listed columns that exist as CSV; returns what was written."""
-    out = df.select(*[c for c in columns if c in df.columns])
+    out = df.select(*[F.col(quoted(c)) for c in columns if c in df.columns])
     write_csv(out, path)
     return out

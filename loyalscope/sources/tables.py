@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from loyalscope import schema
@@ -59,32 +61,85 @@ def jdbc_options(url: str, table: str, properties: Mapping[str, str] | None = No
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
-               batch_rows: int = BATCH_ROWS, connections: int = 8) -> None:
-    """Replace a database table; every task sends its rows in batches over its own connection."""
-    options = jdbc_options(url, table, properties, batchsize=batch_rows, numPartitions=connections)
-    df.write.mode("overwrite").format("jdbc").options(**options).save()
+               batch_rows: int = BATCH_ROWS, connections: int | None = None) -> None:
+    """Replace a database table; every task sends its rows in batches over its own connection.
 
+    ``connections`` deals the rows to so many tasks, behind a shuffle, for a database that takes no more
+    at once; the stages before keep their own tasks.
+    """
+    rows = df if connections is None else df.repartition(connections)
+    _save(rows.write.mode("overwrite").format("jdbc").options(**jdbc_options(url, table, properties, batchsize=batch_rows)))
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None,
-              partition: tuple[str, int, int, int] | None = None) -> DataFrame:
-    """A whole database table, in parallel slices of a numeric column (column, low, high, slices) if given."""
-    options = jdbc_options(url, table, properties)
-    if partition:
-        column, low, high, slices = partition
-        options |= jdbc_options(url, table, properties, partitionColumn=column, lowerBound=low,
-                                upperBound=high, numPartitions=slices)
-    return spark.read.format("jdbc").options(**options).load()
+
+def _save(writer) -> None:
+    writer.save()
+
+
+class Slices(NamedTuple):
+    """A numeric, date or timestamp column that a table is read by, in so many even slices between two values."""
+
+    column: str
+    low: int | str
+    high: int | str
+    count: int
+
+
+def slice_options(url: str, table: str, slices: Slices, properties: Mapping[str, str] | None = None) -> dict[str, str]:
+    return jdbc_options(url, table, properties, partitionColumn=slices.column, lowerBound=slices.low,
+                        upperBound=slices.high, numPartitions=slices.count)
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, slices: Slices | str | None,
+              properties: Mapping[str, str] | None = None, count: int | None = None) -> DataFrame:
+    """A whole database table in parallel slices.
+
+    ``slices`` as a column's name asks the database for its smallest and largest value first, and makes
+    ``count`` slices (as many as tasks run at once, if not given). None reads the table in one task, and
+    has to be said: it suits small tables only.
+    """
+    if slices is None:
+        return spark.read.format("jdbc").options(**jdbc_options(url, table, properties)).load()
+    if isinstance(slices, str):
+        ends = f"(SELECT min({slices}) AS low, max({slices}) AS high FROM {table}) ends"
+        row = spark.read.format("jdbc").options(**jdbc_options(url, ends, properties)).load().first()
+        slices = Slices(slices, row["low"] or 0, row["high"] or 0, count or spark.sparkContext.defaultParallelism)
+    return spark.read.format("jdbc").options(**slice_options(url, table, slices, properties)).load()
+
+
+class Database(NamedTuple):
+    """Where a run's tables go, or where rows may come from."""
+
+    url: str
+    properties: Mapping[str, str] = {}
+    connections: int | None = None  # at once, when writing
+    slices: Slices | str | None = None  # when reading
+
+
+def load_database(cleaned: DataFrame, raw: DataFrame | None, database: Database, prefix: str = "") -> None:
+    """Replace the cleaned table in a database, and the raw one when raw rows are given."""
+    parts = [(cleaned_table_rows(cleaned), schema.CLEANED_TABLE)]
+    if raw is not None:
+        parts.insert(0, (raw_table_rows(raw), schema.RAW_TABLE))
+    for rows, name in parts:
+        write_jdbc(rows, database.url, prefix + name, database.properties, connections=database.connections)
 
 
 class Source(NamedTuple):
     name: str
-    kind: str  # csv, parquet or table
+    kind: str  # csv, parquet, table or jdbc
     place: str
+    database: Database | None = None  # of kind jdbc
 
 
 def resolve_source(spark: SparkSession, candidates: Sequence[Source]) -> tuple[DataFrame, str]:
-    """The first source that exists, with its name."""
+    """The first source that exists, with its name. A database is asked when its turn comes; one that can't be reached,
+    or lacks the table, does not exist."""
     for source in candidates:
+        if source.kind == "jdbc":
+            try:
+                return read_jdbc(spark, source.database.url, source.place, source.database.slices, source.database.properties), source.name
+            except (PySparkException, Py4JJavaError):
+                continue
         if source.kind == "table":
             if spark.catalog.tableExists(source.place):
                 return spark.table(source.place), source.name
