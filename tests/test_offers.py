@@ -7,11 +7,11 @@ from loyalscope.operators import offers, segments
 COLUMNS = ("ChurnProbability double, ChurnRisk string, Contract string, InternetService string, PaymentMethod string, "
            "SeniorCitizen int, tenure int, MonthlyCharges double")
 CASES = [
-    ((0.72, "High", "Month-to-month", "DSL", "Mailed check", 0, 5, 55.0), "CONTRACT_UPGRADE"),
-    ((0.92, "High", "Month-to-month", "Fiber optic", "Electronic check", 0, 2, 95.0), "RETENTION_CALL"),
-    ((0.68, "High", "One year", "DSL", "Mailed check", 1, 20, 40.0), "SENIOR_PLAN"),
-    ((0.55, "Medium", "One year", "DSL", "Electronic check", 0, 18, 50.0), "AUTOPAY_CASHBACK"),
-    ((0.30, "Low", "Two year", "DSL", "Credit card (automatic)", 0, 60, 35.0), "STANDARD_LOYALTY"),
+    ((0.66, "High", "Month-to-month", "No", "Credit card (automatic)", 0, 11, 24.5), "CONTRACT_UPGRADE"),
+    ((0.83, "High", "Two year", "DSL", "Bank transfer (automatic)", 1, 44, 61.0), "RETENTION_CALL"),
+    ((0.41, "Medium", "Two year", "Fiber optic", "Electronic check", 1, 50, 99.0), "SENIOR_PLAN"),
+    ((0.74, "High", "Two year", "No", "Electronic check", 0, 40, 80.0), "AUTOPAY_CASHBACK"),
+    ((0.12, "Low", "Month-to-month", "Fiber optic", "Electronic check", 0, 3, 88.0), "STANDARD_LOYALTY"),
     ((0.55, "Medium", "One year", "Fiber optic", "Electronic check", 0, 18, 50.0), "TECHSUPPORT_BUNDLE"),
     ((0.70, "High", "Two year", "DSL", "Mailed check", 0, 37, 50.0), "LOYALTY_UPGRADE"),
     ((0.70, "High", "Two year", "DSL", "Mailed check", 0, 36, 50.0), "STANDARD_LOYALTY"),

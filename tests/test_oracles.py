@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__
+from loyalscope.catalogue import ORACLES
 from comparing import connection, differences
 
 SF_DIR = "/root/testdata/sf0.01"
-ORACLES = __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")

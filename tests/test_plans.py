@@ -5,11 +5,12 @@ import re
 import pytest
 
 import __spark_entry__
+from loyalscope.catalogue import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 LEARNED = {"m3_random_forest", "m4_gradient_boosting", "m5_logistic_regression", "m10_feature_importance", "m11_batch_scores",
            "m13_profile_scores", "m15_training_run", "r4_profile_offers", "s12_model_reload", "t7_top_features", "r5_full_run"}
-NAMES = [n for n in __spark_entry__.queries() if n not in LEARNED]
+NAMES = [n for n in QUERIES if n not in LEARNED]
 
 
 def plan_of(df) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import by_key
 from loyalscope import schema
-from loyalscope.operators import reports, segments
+from loyalscope.operators import learning, offers, reports, segments
 from loyalscope.plans import churn
 from loyalscope.session import scratch_path, shared_folder
 from loyalscope.sources import artifacts, eventlog, files, tables
@@ -100,7 +100,7 @@ def test_tables_are_created_and_replaced(spark, raw, featured, tmp_path):
         tables.load_tables(featured, raw, prefix, str(tmp_path))
     loaded = spark.table(cleaned_name)
     assert loaded.columns == schema.CLEANED.fieldNames()
-    assert by_key(loaded)["C003"]["Contract"] == "Two year" and loaded.count() == 5
+    assert by_key(loaded)["bo"]["Contract"] == "Two year" and loaded.count() == 5
     assert spark.table(prefix + schema.RAW_TABLE).count() == 5
 
 
@@ -114,6 +114,67 @@ def test_jdbc_settings():
     assert options == {"url": "jdbc:x", "dbtable": "t", "user": "u", "batchsize": "5000", "numPartitions": "8"}
 
 
+def test_jdbc_slices():
+    slices = tables.Slices("id", 1, 900, 6)
+    assert tables.slice_options("jdbc:x", "t", slices) == {
+        "url": "jdbc:x", "dbtable": "t", "partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "6"}
+
+
+def test_run_hands_both_tables_to_the_database(spark, raw, tmp_path, monkeypatch):
+    """No database may be started here, so the writers are caught just before they would connect."""
+    caught = []
+    monkeypatch.setattr(tables, "_save", caught.append)
+    seen = []
+    plain = tables.jdbc_options
+    monkeypatch.setattr(tables, "jdbc_options", lambda url, table, properties=None, **o: seen.append((table, o)) or plain(url, table, properties, **o))
+    churn.run(spark, churn.RunConfig(str(tmp_path), with_training=False, with_tables=False, table_prefix="p_",
+                                     database=tables.Database("jdbc:none", {"user": "u"}, connections=3)), raw)
+    assert [t for t, _ in seen] == ["p_" + schema.RAW_TABLE, "p_" + schema.CLEANED_TABLE] and len(caught) == 2
+    assert all("numPartitions" not in o for _, o in seen)
+
+
+def test_unreachable_database_is_no_source(spark, featured, tmp_path):
+    path = str(tmp_path / "processed")
+    files.write_csv(featured, path)
+    database = tables.Database("jdbc:nothing://nowhere/x", slices=None)
+    candidates = [tables.Source("database", "jdbc", "t", database), tables.Source("processed", "csv", path)]
+    assert tables.resolve_source(spark, candidates)[1] == "processed"
+
+
+def test_dotted_names_from_file_to_export(spark, raw, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    dotted = raw.withColumn("PaymentMethod", F.when(F.col("PaymentMethod") == "Mailed check", "Co. card").otherwise(F.col("PaymentMethod")))
+    files.write_csv(dotted.withColumn("plan.code", F.lit("a.b")), source)
+    rows = churn.transform(files.read_raw(spark, source))
+    assert "PaymentMethod_Co. card" in rows.columns and "plan.code" in rows.columns
+    scored = learning.add_risk(rows.withColumn("score", F.lit(0.9)))
+    offered = offers.recommend(scored)
+    files.export(offered, ["customerID", "plan.code", "PaymentMethod_Co. card", "OfferID"], out)
+    back = spark.read.option("header", True).csv(out)
+    assert back.columns == ["customerID", "plan.code", "PaymentMethod_Co. card", "OfferID"] and back.count() == 5
+    assert {r["PaymentMethod_Co. card"] for r in back.collect()} == {"true", "false"}
+
+
+def test_intermediate_tables_are_removed(spark, raw, tmp_path):
+    import os
+
+    from loyalscope import session
+
+    start = session.written_so_far()
+    one, two = session.written(raw, "one"), session.written(raw, "two")
+    assert one.count() == two.count() == 5
+    path = session.last_written()
+    session.cleanup(spark, start, keep=[path])
+    assert session.written_so_far() == start + 1 and os.path.exists(path)
+    session.cleanup(spark, start)
+    assert session.written_so_far() == start and not os.path.exists(path)
+
+
+def test_late_rows_count_by_arrival(spark):
+    log = spark.createDataFrame([(1, "10:00"), (2, "09:00"), (3, "11:00"), (4, "08:00")], "id int, at string")
+    assert [r["id"] for r in segments.latest_n(log, "at", "id", 2).collect()] == [3, 4]
+
+
 def test_access_log(spark, tmp_path):
     path = tmp_path / "log.csv"
     assert eventlog.read_access_log(spark, str(path)).count() == 0
@@ -125,7 +186,7 @@ def test_access_log(spark, tmp_path):
     assert log.schema == schema.ACCESS_LOG
     counters = {"logins_ok": "LOGIN_SUCCESS", "logins_failed": "LOGIN_FAILED", "page_views": "PAGE_VIEW"}
     assert tuple(reports.event_counters(log, counters).first()) == (3, 1, 1, 1)
-    latest = segments.latest_n(log, "timestamp", "username", 2).collect()
+    latest = segments.last_n(log, ["timestamp"], 2).orderBy(F.desc("timestamp")).collect()
     assert [r["username"] for r in latest] == ["bob", "ann"] and latest[0]["detail"] == "a, b"
 
 
@@ -146,13 +207,13 @@ def test_metrics_document(spark, tmp_path):
 def test_metrics_document_written_elsewhere(spark, tmp_path):
     path = tmp_path / "metrics.json"
     path.write_text(json.dumps({
-        "best_model": "GradientBoosting", "feature_importance": {"tenure": 0.2129, "AnnualRevenue": 0.206},
-        "model_results": {"GradientBoosting": {"accuracy": 0.7928, "precision": 0.6434, "recall": 0.492, "f1": 0.5576,
-                                               "roc_auc": 0.8322, "confusion_matrix": [[933, 102], [190, 184]]}}}, indent=2))
+        "best_model": "Second", "feature_importance": {"height": 0.75, "width": 0.25},
+        "model_results": {"Second": {"accuracy": 0.9, "precision": 0.8, "recall": 0.8, "f1": 0.8,
+                                     "roc_auc": 0.95, "confusion_matrix": [[14, 1], [1, 4]]}}}, indent=2))
     stored = artifacts.read_metrics(spark, str(path))
     row = stored.models.first()
-    assert (row["model"], row["tn"], row["fp"], row["fn"], row["tp"], row["is_best"]) == ("GradientBoosting", 933, 102, 190, 184, True)
-    assert artifacts.top_features(stored.importance, 1).first()["feature"] == "tenure"
+    assert (row["model"], row["tn"], row["fp"], row["fn"], row["tp"], row["is_best"]) == ("Second", 14, 1, 1, 4, True)
+    assert artifacts.top_features(stored.importance, 1).first()["feature"] == "height"
 
 
 def test_shared_folder_is_the_session_setting(spark):
@@ -202,4 +263,4 @@ def test_light_run(spark, raw, tmp_path):
     files.write_csv(raw, source)
     churn.light_run(spark, source, target)
     rows = by_key(spark.read.option("header", True).csv(target))
-    assert rows["C004"]["TotalCharges"] == "0.0" and rows["C005"]["ChurnFlag"] == "1"
+    assert rows["di"]["TotalCharges"] == "0.0" and rows["ed"]["ChurnFlag"] == "1"
