@@ -231,14 +231,15 @@ def _rest(regions: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
 
     Let x and y be in the region of pivot q, with o = |x & q| and the like. They share min(o_x, o_y) shingles of q at most.
     Either that is enough by itself, and they lie in each other's window of distances from q; or they share shingles
-    outside q as well, and meet in one of those.
+    outside q as well, and meet in one of those. How many shingles of q both lack is bounded bucket by bucket, and with it
+    how far apart x and y are.
     """
     at = _class_of(regions.select("x", "n", "c", "pivot").distinct(), classes, "x", "class")
     left, right = sets.withColumnRenamed("hashes", "sx"), sets.select(F.col("x").alias("pivot"), F.col("hashes").alias("sp"))
-    kinds = "x long, n int, c int, pivot long, class long, o int, np int, outside array<bigint>"
+    kinds = "x long, n int, c int, pivot long, class long, o int, np int, outside array<bigint>, lacking array<int>"
     at = written(at.join(left, "x").join(right, "pivot").select("x", "n", "c", "pivot", "class", "sx", "sp").mapInArrow(_against_pivot, kinds), "outside")
-    at = at.withColumn("d", 1 - F.col("o") / (F.col("n") + F.col("np") - F.col("o")))
-    names = ["x", "n", "c", "o", "d", "class"]
+    at = at.withColumn("d", 1 - F.col("o") / (F.col("n") + F.col("np") - F.col("o"))).withColumn("off", F.col("n") + F.col("np") - 2 * F.col("o"))
+    names = ["x", "n", "c", "o", "d", "off", "lacking", "class"]
 
     def other(rows):
         return rows.withColumnsRenamed({k: f"{k}2" for k in names})
@@ -246,30 +247,45 @@ def _rest(regions: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     def enough(common):
         return common * (100 + PER_CENT) >= (F.col("n") + F.col("n2")) * PER_CENT
 
+    def near(common):
+        """Whether sets that share so many shingles outside the pivot can be within the distance."""
+        lacked = F.aggregate(F.zip_with("lacking", "lacking2", lambda a, b: F.least(a, b)), F.lit(0), lambda n, k: n + k)
+        return (F.col("off") + F.col("off2") - 2 * (common + lacked)) * (100 + PER_CENT) <= (F.col("n") + F.col("n2")) * (100 - PER_CENT)
+
     apart = (F.col("x") < F.col("x2")) & (F.col("class") != F.col("class2")) & (F.abs(F.col("d") - F.col("d2")) <= 1 - PER_CENT / 100 + 1e-9)
     within = at.drop("outside", "np")
-    inside = within.join(other(within), "pivot").where(apart & enough(F.least("o", "o2")))
-    ends = at.select("pivot", *names, F.explode("outside").alias("h"))
-    shared = F.least(F.col("c") - F.col("o"), F.col("c2") - F.col("o2"))
-    outside = ends.join(other(ends), ["pivot", "h"]).where(apart & (shared > 0) & enough(F.least("o", "o2") + shared))
-    outside = outside.groupBy("pivot", "x", "x2").agg(*[F.first(k).alias(k) for k in ("n", "n2", "o", "o2")], F.count("*").alias("e")).where(enough(F.least("o", "o2") + F.col("e")))
+    inside = within.join(other(within), "pivot").where(apart & enough(F.least("o", "o2")) & near(F.lit(0)))
+    # outside shingles that nobody else in the region has join nothing
+    ends = at.select("pivot", "x", F.explode("outside").alias("h"))
+    met = ends.join(ends.groupBy("pivot", "h").count().where("count > 1").select("pivot", "h"), ["pivot", "h"])
+    met = met.withColumn("s", F.count("*").over(Window.partitionBy("pivot", "x")).cast("int")).join(within, ["pivot", "x"])
+    names = [*names, "s"]
+    shared = F.least("s", "s2")
+    outside = met.join(other(met), ["pivot", "h"]).where(apart & enough(F.least("o", "o2") + shared) & near(shared))
+    outside = outside.groupBy("pivot", "x", "x2").agg(*[F.first(k).alias(k) for k in ("n", "n2", "o", "o2", "off", "off2", "lacking", "lacking2")], F.count("*").cast("int").alias("e"))
+    outside = outside.where(enough(F.least("o", "o2") + F.col("e")) & near(F.col("e")))
     pairs = inside.select("x", "x2", "n", "n2").unionByName(outside.select("x", "x2", "n", "n2"))
     return pairs.groupBy("x", F.col("x2").alias("p")).agg(F.first("n").alias("nx"), F.first("n2").alias("np"))
 
 
+BUCKETS = 128
+
+
 def _against_pivot(batches):
-    """How many shingles a set shares with its pivot, the pivot's size, and the shingles it does not share."""
+    """How many shingles a set shares with its pivot, the pivot's size, the shingles that it has besides, and how many of
+    the pivot's it lacks, in buckets by the last bits of their hashes."""
     for batch in batches:
-        common, sizes, outside = [], [], []
+        common, sizes, outside, lacking = [], [], [], []
         for a, b in zip(batch.column("sx"), batch.column("sp")):
             a, b = np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64)
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            same = b[at] == a
+            same = np.isin(a, b, assume_unique=True)
             common.append(int(same.sum()))
             sizes.append(len(b))
             outside.append(a[~same])
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("x", "n", "c", "pivot", "class")] + [pa.array(common, pa.int32()), pa.array(sizes, pa.int32()), pa.array(outside, pa.list_(pa.int64()))],
-                                         names=["x", "n", "c", "pivot", "class", "o", "np", "outside"])
+            lacking.append(np.bincount(np.setdiff1d(b, a, assume_unique=True) & (BUCKETS - 1), minlength=BUCKETS).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("x", "n", "c", "pivot", "class")] + [
+            pa.array(common, pa.int32()), pa.array(sizes, pa.int32()), pa.array(outside, pa.list_(pa.int64())), pa.array(lacking, pa.list_(pa.int32()))],
+            names=["x", "n", "c", "pivot", "class", "o", "np", "outside", "lacking"])
 
 
 def _class_of(rows: DataFrame, classes: DataFrame, key: str, name: str) -> DataFrame:
