@@ -74,9 +74,9 @@ def _edge(bin_: Column, bins: int) -> Column:
 
 
 def _binned(df: DataFrame, col: str, bins: int, by: Sequence[str]) -> DataFrame:
-    """Non-empty bins with the group's own limits: (by..., low, high, bin, count)."""
+    """Non-empty bins with the group's own limits, size and deviation: (by..., low, high, n, std, bin, count)."""
     values = df.select(*by, _value(col).alias("value")).where(F.col("value").isNotNull())
-    limits = [F.min("value").alias("low"), F.max("value").alias("high")]
+    limits = [F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n"), F.stddev_samp("value").alias("std")]
     if by:
         placed = with_group_stats(values, by, values.groupBy(*by).agg(*limits))
     else:
@@ -84,7 +84,7 @@ def _binned(df: DataFrame, col: str, bins: int, by: Sequence[str]) -> DataFrame:
     # equal limits get a unit range around the value, as plotting libraries do
     flat = F.col("low") == F.col("high")
     placed = placed.select(*by, "value", (F.col("low") - F.when(flat, 0.5).otherwise(0.0)).alias("low"),
-                           (F.col("high") + F.when(flat, 0.5).otherwise(0.0)).alias("high"))
+                           (F.col("high") + F.when(flat, 0.5).otherwise(0.0)).alias("high"), "n", "std")
     # the quotient may miss by one at an edge, so it is checked against the edges that are reported
     spot = F.floor((F.col("value") - F.col("low")) * bins / (F.col("high") - F.col("low")))
     near = placed.withColumn("near", F.least(F.lit(bins - 1), spot).cast("int"))
@@ -92,7 +92,7 @@ def _binned(df: DataFrame, col: str, bins: int, by: Sequence[str]) -> DataFrame:
         (F.col("value") >= _edge(F.col("near") + 1, bins)) & (F.col("near") < bins - 1), 1).otherwise(0)
     return (
         near.withColumn("bin", F.col("near") + miss)
-        .groupBy(*by, "low", "high", "bin").agg(F.count("*").alias("count"))
+        .groupBy(*by, "low", "high", "n", "std", "bin").agg(F.count("*").alias("count"))
     )
 
 
@@ -136,14 +136,9 @@ def density(df: DataFrame, col: str, by: Sequence[str], grid: int = 100, bins: i
     """
     by = list(by)
     values = df.select(*by, _value(col).alias("value")).where(F.col("value").isNotNull())
-    spread = values.groupBy(*by).agg(F.count("*").alias("n"), F.stddev_samp("value").alias("std"))
     width = (F.col("high") - F.col("low")) / bins
-    boxes = _binned(values, "value", bins, by).groupBy(*by, "low", "high").agg(F.array_sort(F.collect_list(F.struct(
+    joined = _binned(values, "value", bins, by).groupBy(*by, "low", "high", "n", "std").agg(F.array_sort(F.collect_list(F.struct(
         (F.col("low") + width * (F.col("bin") + 0.5)).alias("mid"), F.col("count").alias("n")))).alias("boxes"))
-    if by:
-        joined = with_group_stats(boxes, by, spread)
-    else:
-        joined = boxes.withColumn("_whole", spread.select(F.struct("n", "std")).scalar()).select(*boxes.columns, "_whole.*")
     h = F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     points = joined.withColumn("h", h).withColumns({
         "start": F.col("low") - cut * F.col("h"),
