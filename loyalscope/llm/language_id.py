@@ -130,14 +130,14 @@ def train(docs: DataFrame, sample: int = 3000, languages: int = 200, epochs: int
 
 def calibrate(model: Model, data: np.ndarray, starts: np.ndarray, label: np.ndarray, rows: np.ndarray) -> None:
     """The temperature with the best likelihood on rows left out of training, and a threshold below which at most one of
-    a thousand of their right answers falls (never above 0.5)."""
+    a thousand of their right answers falls (never above 0.4, as two languages may share a text)."""
     logits = np.concatenate([model.logits(data[starts[r] : starts[r + 1]], np.array([0, starts[r + 1] - starts[r]])) for r in rows])
     truth = label[rows]
     loss = lambda t: -np.log(softmax(logits / t)[np.arange(len(rows)), truth] + 1e-12).mean()
     model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
     scores = softmax(logits / model.temperature)
     right = scores.max(axis=1)[scores.argmax(axis=1) == truth]
-    model.threshold = float(min(0.5, 0.9 * np.quantile(right, 0.001))) if len(right) else 0.0
+    model.threshold = float(min(0.4, 0.9 * np.quantile(right, 0.001))) if len(right) else 0.0
 
 
 def fold(doc_id: Column, folds: int) -> Column:
