@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loyalscope.llm.common import written
 
 #: Rows of one shard are numbered in so many separately ordered buckets.
-BUCKETS = 4096
+BUCKETS = 1024
 
 
 @dataclass(frozen=True)

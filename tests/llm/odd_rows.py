@@ -1,4 +1,4 @@
-"""Documents that no operator may stumble over."""
+"""Fixtures: documents that no operator may stumble over. Test modules import them by name."""
 
 from __future__ import annotations
 

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loyalscope.llm import common, embedding_join, jaccard_join, pitman_yor, queries, suffix_dedup
+from odd_rows import odd, nothing, documents  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -9,6 +9,7 @@ import corpus_pipeline
 from loyalscope.llm import language_id, pii, queries
 from test_corpus_operators import brute_texts
 from test_row_operators import brute_hits
+from odd_rows import odd, nothing  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loyalscope.llm import decontamination, language_id, license_scan, pii, queries, sentencepiece_codec, sharding
+from odd_rows import odd, nothing, documents  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 
