@@ -18,7 +18,7 @@ __all__ = ["written"]
 
 #: Texts are worked on in groups of about this many bytes, so that numpy's temporary arrays stay small.
 GROUP_BYTES = 1 << 21
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
