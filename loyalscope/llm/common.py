@@ -6,6 +6,7 @@ import pathlib
 import shutil
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,18 @@ def ship(spark: SparkSession) -> None:
 _shipped: set = set()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs run in here hand rows to Python in smaller batches: for rows that hold whole sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loyalscope.llm.common import NOT_SPACE, Words, components, groups, mix, text_bytes, written
+from loyalscope.llm.common import NOT_SPACE, Words, components, groups, mix, small_batches, text_bytes, written
 
 WORDS = 5
 PER_CENT = 80
@@ -342,8 +342,10 @@ def classify(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     Shingles are compared by 64-bit hashes.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    rows = written(keys(docs), "keys")
-    groups_ = components(links(docs, spare), "classes").select(F.col("node").alias("set_key"), F.col("component").alias("class"))
+    with small_batches(docs.sparkSession):
+        rows = written(keys(docs), "keys")
+        linked = links(docs, spare)
+    groups_ = components(linked, "classes").select(F.col("node").alias("set_key"), F.col("component").alias("class"))
     firsts = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first")).join(groups_, "set_key", "left")
     firsts = firsts.withColumn("class", F.coalesce("class", "set_key"))
     smallest = firsts.groupBy("class").agg(F.min("first").alias("component_id"))

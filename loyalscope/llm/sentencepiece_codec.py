@@ -12,6 +12,7 @@ import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 from loyalscope.llm.common import appended
 
 SPACE = "▁"
-#: A worker forgets its known words beyond this many; they are then worked out again.
-REMEMBERED = 200_000
+#: A task forgets its known words beyond this many, and at its end; they are then worked out again.
+REMEMBERED = 150_000
+SLICE = 500  # documents whose ids are held at once
 #: Runs of spaces with the characters behind them; no piece joins a character and a space behind it. A line break stands alone.
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -59,7 +61,7 @@ class Codec:
         self.utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode()
                      for i, p in enumerate(proto.pieces)]
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[list[int], str, bytes]] = {}
+        self.words: dict[str, tuple[bytes, str, bytes]] = {}
 
     def merged(self, text: str) -> list[str]:
         """The definition: of all neighbours whose union is a piece, the best-scored, leftmost pair is united, again and again."""
@@ -120,21 +122,21 @@ class Codec:
             known = ""
         return ids + (self._segment(known) if known else [])
 
-    def look_up(self, unit: str) -> tuple[list[int], str, bytes]:
-        """The ids, the ids as text, and the bytes they stand for."""
+    def look_up(self, unit: str) -> tuple[bytes, str, bytes]:
+        """The ids as 32-bit integers in a row, the ids as text, and the bytes they stand for."""
         got = self.words.get(unit)
         if got is None:
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             ids = self._unit(unit)
-            got = self.words[unit] = (ids, ",".join([self.digits[i] for i in ids]), self.raw(ids))
+            got = self.words[unit] = (np.array(ids, dtype="<i4").tobytes(), ",".join([self.digits[i] for i in ids]), self.raw(ids))
         return got
 
     def units(self, text: str) -> list[str]:
         return _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str) -> list[int]:
-        return [i for unit in self.units(text) for i in self.look_up(unit)[0]]
+        return np.frombuffer(b"".join([self.look_up(u)[0] for u in self.units(text)]), "<i4").tolist()
 
     def raw(self, ids: Iterable[int]) -> bytes:
         """The UTF-8 bytes of ids, spaces restored; control ids stand for nothing."""
@@ -152,29 +154,38 @@ def _codec(model: bytes) -> Codec:
     return Codec(model)
 
 
+def _digested(codec: Codec, batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
+    counts, ids, texts, packed = [], [], [], []
+    for value in batch.column("text"):
+        got = [codec.look_up(u) for u in codec.units(value.as_py() or "")]
+        row = b"".join([g[0] for g in got])
+        counts.append(len(row) // 4)
+        ids.append(hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest())
+        texts.append(hashlib.sha256(b"".join([g[2] for g in got])[1:].decode("utf-8", "replace").encode()).hexdigest())
+        packed.append(row if "token_ids" in schema.names else b"")
+    columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array(packed, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns[: len(schema)], schema=schema)
+
+
 def digests(docs: DataFrame, model: bytes, with_ids: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256 (ids joined by commas), decoded_sha256 and, if asked for, token_ids.
+    """One row per document: doc_id, n_tokens, ids_sha256 (ids joined by commas), decoded_sha256 and, if asked for, token_ids:
+    the ids as little-endian 32-bit integers, one behind the other.
 
     Whole texts; null text is empty and has no ids. Repeated rows stay, other columns are left behind, an empty table gives
     no rows. The model file (a few hundred kilobytes) goes to the tasks with the function.
     """
-    schema = OUT.append(pa.field("token_ids", pa.list_(pa.int32()))) if with_ids else OUT
+    schema = OUT.append(pa.field("token_ids", pa.binary())) if with_ids else OUT
 
     def run(batches):
         codec = _codec(model)
-        for batch in batches:
-            counts, ids, texts, lists = [], [], [], []
-            for value in batch.column("text"):
-                got = [codec.look_up(u) for u in codec.units(value.as_py() or "")]
-                counts.append(sum([len(g[0]) for g in got]))
-                ids.append(hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest())
-                texts.append(hashlib.sha256(b"".join([g[2] for g in got])[1:].decode("utf-8", "replace").encode()).hexdigest())
-                if with_ids:
-                    lists.append([i for g in got for i in g[0]])
-            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(lists, pa.list_(pa.int32()))] * with_ids, schema=schema)
-
-    kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
+        try:
+            for batch in batches:
+                for first in range(0, batch.num_rows, SLICE):
+                    yield _digested(codec, batch.slice(first, SLICE), schema)
+        finally:
+            codec.words.clear()  # the worker may go on to other work
+
+    kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kinds)
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def test_run_equals_the_stages_by_brute_force(spark, library):
     assert set(got) == set(clean)
     for i, text in clean.items():
         ids = library.encode(text)
-        assert got[i].token_ids == ids and got[i].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+        assert np.frombuffer(bytes(got[i].token_ids), "<i4").tolist() == ids and got[i].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
 def test_stages_take_odd_and_no_rows(spark, odd, nothing):
