@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, near duplicates, benchmark contamination, personal data, pieces.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but the last return the columns of
-documents; the last returns token ids and digests.
+documents; the last returns token ids (32-bit integers in a row) and digests.
 """
 
 from __future__ import annotations
