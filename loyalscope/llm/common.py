@@ -18,7 +18,8 @@ from loyalscope.session import written
 __all__ = ["written"]
 
 #: Texts are worked on in groups of about this many bytes, so that numpy's temporary arrays stay small.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 19
+SLICE = 2000  # rows that appended() works on at once
 CHUNK_BYTES = 8 << 20
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -235,8 +236,9 @@ def appended(rows: DataFrame, compute, new: str) -> DataFrame:
     types = to_arrow_schema(made).types
 
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(first, SLICE) for whole in batches for first in range(0, max(1, whole.num_rows), SLICE)):
             arrays = [pa.array(a, t) if not isinstance(a, pa.Array) else a for a, t in zip(compute(batch), types)]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + arrays, names=[f.name for f in kept] + made.names)
+        pa.default_memory_pool().release_unused()  # the worker may go on to other work
 
     return rows.mapInArrow(run, StructType(kept + list(made.fields)))

@@ -78,6 +78,7 @@ def _sets(batches):
         for first, last in groups(starts):
             a, b = starts[first], starts[last]
             yield batch, first, last, shingle_sets(data[a:b], starts[first : last + 1] - a)
+    pa.default_memory_pool().release_unused()
 
 
 def keys(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ from loyalscope.llm.common import appended
 
 SPACE = "▁"
 #: A task forgets its known words beyond this many, and at its end; they are then worked out again.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
+PAIRS = 500_000  # and so with tests of pairs, which a worker keeps
 SLICE = 500  # documents whose ids are held at once
 #: Runs of spaces with the characters behind them; no piece joins a character and a space behind it. A line break stands alone.
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -79,7 +80,7 @@ class Codec:
 
     def _compatible(self, a: int, b: int) -> bool:
         left, right = self.pieces[a], self.pieces[b]
-        if len(self.pairs) >= REMEMBERED:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         answer = self.pairs[a << 20 | b] = self.merged(left + right) == [left, right]
         return answer
