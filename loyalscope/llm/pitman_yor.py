@@ -1,14 +1,16 @@
-"""Language-model scores from a hierarchical Pitman-Yor process, seated by Gibbs sampling.
+"""Language-model scores from a hierarchical Pitman-Yor process over trigrams, seated by Gibbs sampling.
 
-Three levels of restaurants: a leaf context (the last frequent word before a token, and whether it stands right before it),
-its parent (the last frequent word alone) and the root, which all contexts share. A dish is a word. Customers of a leaf are
+Three levels of restaurants: a leaf for the two words before a token, its parent for the one word before, and the root,
+which all contexts share; a dish is a word. Every context of the training texts has its restaurant. Customers of a leaf are
 the tokens; each table of a restaurant is a customer of its parent. The state is the number of tables of each dish in each
-restaurant; how customers sit at them is integrated out with generalised Stirling numbers. Sampling lets one customer of
-every dish after the other stand up and sit down again, restaurants side by side. Predictive probabilities use averages over
-the samples behind the burn-in.
-
-Chunks of documents count their (word, context) pairs and send each pair to the part of the vocabulary it belongs to; a part
-samples its dishes and answers every chunk with what its own pairs need; a chunk then scores its documents.
+restaurant; how customers sit at them is integrated out with generalised Stirling numbers. A sweep draws the tables of every
+dish from their distribution given all else, restaurants side by side. Predictive probabilities use averages over the samples
+behind the burn-in.
+
+Chunks of documents count their trigrams and send each to the part that the word before belongs to. So a part holds whole
+restaurants, leaves and parents, and counts their totals; the root's customers are summed word by word over all parts after
+each round of sweeps and handed to the next. A part answers every chunk with what its own trigrams need; a chunk then scores
+its documents.
 """
 
 from __future__ import annotations
@@ -23,178 +25,265 @@ from pyspark.sql import functions as F
 
 from loyalscope.llm.common import NOT_SPACE, Words, chunk_count, groups, mix, pack, text_bytes, unpack, written
 
-CHUNK_BYTES = 16 << 20
-#: A word is a context if it is at least this share of the training tokens: so there are 200 of them at most.
-FREQUENT = 1 / 200
-BURN_IN, SAMPLES = 4, 4
+CHUNK_BYTES = 8 << 20
+#: Sweeps of a round, and rounds: after each, the root's customers are summed over all parts.
+BURN_IN, SAMPLES = 10, 4
+ROUNDS = 2
 #: Discount and strength of leaf, parent and root restaurants.
 DISCOUNT = (0.8, 0.75, 0.6)
 STRENGTH = (2.0, 2.0, 2.0)
 #: The hash of the token that ends every text.
 END = np.uint64(0xE7D0F7E47)
-#: Stirling numbers are tabulated up to so many customers; beyond, a customer sits alone with the limiting chance d t / c.
-TABLE = 64
+#: What stands before the first token of a text, as a context.
+START = np.uint64(0x57A27)
+#: Stirling numbers are tabulated up to so many tables and customers.
+TABLE, CUSTOMERS = 192, 8192
+#: Weights drawn from at once.
+BLOCK = 1 << 18
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
                  ("base_score", pa.float64()), ("score", pa.float64())])
-PAIRS = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("body", pa.binary())])
+#: Messages between chunks, parts and the root's parts: one bundle each; a negative source or target is part -1 - it.
+PAIRS = "part int, chunk int, pairs boolean, words binary, body binary"
+MAIL = "target int, source int, answer boolean, body binary"
+SUMS = "target int, source int, body binary, customers double, words long, tokens long"
 
 
 def held_out(doc_id: int | None, folds: int = 7, fold: int = 2) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds == fold
 
 
-def tokens(data: np.ndarray, starts: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, leaf context, first token of each text and the end) of all tokens; an end token stands behind every text.
-
-    Context 0 is that no frequent word came before. Word i of `frequent` (sorted) gives 2 i + 2, and 2 i + 3 right behind it.
-    """
-    hashes, contexts, firsts = [], [], []
+def tokens(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first token of each text and the end) of all tokens; an end token stands behind every text."""
+    hashes, firsts = [], []
     total = 0
     for first, last in groups(starts):
         a, b = starts[first], starts[last]
         words = Words(data[a:b], starts[first : last + 1] - a, NOT_SPACE)
         n = last - first
-        begin = words.first[:-1] + np.arange(n)
-        size = len(words.hash) + n
-        h = np.full(size, END, np.uint64)
-        ends = words.first[1:] + np.arange(n)
-        inner = np.ones(size, dtype=bool)
-        inner[ends] = False
+        h = np.full(len(words.hash) + n, END, np.uint64)
+        inner = np.ones(len(h), dtype=bool)
+        inner[words.first[1:] + np.arange(n)] = False
         h[inner] = words.hash
-        place = np.zeros(size, dtype=np.int64)
-        if len(frequent):
-            at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-            place = np.where((frequent[at] == h) & inner, at + 1, 0)
-        # the last frequent word before each token, within its text
-        index = np.where(place > 0, np.arange(size), -1)
-        seen = np.maximum.accumulate(index)
-        before = np.concatenate([[-1], seen[:-1]])
-        before[before < np.repeat(begin, np.diff(np.append(begin, size)))] = -1
-        context = np.where(before >= 0, 2 * place[before] + (before == np.arange(size) - 1), 0)
         hashes.append(h)
-        contexts.append(context.astype(np.int32))
-        firsts.append(begin + total)
-        total += size
+        firsts.append(words.first[:-1] + np.arange(n) + total)
+        total += len(h)
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    return join(hashes, np.uint64), join(contexts, np.int32), np.append(join(firsts, np.int64), total).astype(np.int64)
+    return join(hashes, np.uint64), np.append(join(firsts, np.int64), total).astype(np.int64)
 
 
-def distinct(h: np.ndarray, context: np.ndarray, parts: int) -> tuple[np.ndarray, ...]:
-    """Distinct pairs ordered by part, hash and context: (part, hash, context, number of each token's pair)."""
-    part = (mix(h) % np.uint64(parts)).astype(np.int32)
-    order = np.lexsort((context, h, part))
-    p, x, c = part[order], h[order], context[order]
-    new = np.ones(len(x), dtype=bool)
-    new[1:] = (x[1:] != x[:-1]) | (c[1:] != c[:-1])
-    number = np.empty(len(x), dtype=np.int64)
-    number[order] = new.cumsum() - 1
-    return p[new], x[new], c[new], number
+def trigrams(before: np.ndarray, second: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Distinct trigrams of word numbers below n, ordered by the word before, the second before and the word: (before, second,
+    word, number of each given one's trigram)."""
+    context, at = np.unique(before * n + second, return_inverse=True)
+    both, number = np.unique(at * n + word, return_inverse=True)
+    context = context[both // n]
+    return context // n, context % n, both % n, number
 
 
-def _alone(discount: float) -> np.ndarray:
-    """[c, t]: the chance that a given one of c customers has one of the dish's t tables to himself."""
-    log = np.full((TABLE + 1, TABLE + 2), -np.inf)
-    log[0, 0] = 0
-    out = np.zeros((TABLE + 1, TABLE + 2))
-    t = np.arange(1, TABLE + 2)
-    for c in range(1, TABLE + 1):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            stay = log[c - 1, 1:] + np.log(np.maximum(c - 1 - discount * t, 0))
-            log[c, 1:] = np.logaddexp(log[c - 1, :-1], stay)
-            out[c, 1:] = np.where(np.isfinite(log[c, 1:]), np.exp(log[c - 1, :-1] - log[c, 1:]), 0)
-    return out
+def root_part(h: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(mix(h)) % np.uint64(parts)).astype(np.int32)
 
 
 @dataclass
-class Level:
-    """The dishes of all restaurants of one level: their restaurant, customers c and tables t."""
+class Chunk:
+    """A chunk's documents, its words with their number of each token, and its distinct trigrams ordered by part."""
+
+    ids: list
+    train: np.ndarray  # of each token
+    first: np.ndarray
+    words: np.ndarray  # ordered by the root's parts; START is not among them
+    word: np.ndarray
+    part: np.ndarray
+    hashes: tuple[np.ndarray, np.ndarray, np.ndarray]  # the word before, the second before, the word
+    number: np.ndarray
+
 
-    restaurant: np.ndarray
-    c: np.ndarray
-    t: np.ndarray
-    discount: float
-    strength: float
+def _chunk(blobs: pa.Table, parts: int) -> Chunk:
+    table = unpack(blobs)
+    ids = table.column("doc_id").to_pylist()
+    h, first = tokens(*text_bytes(table.column("text")))
+    found, code = np.unique(np.append(h, START), return_inverse=True)
+    word, start = code[:-1], code[-1]
+    before, second = np.empty_like(word), np.empty_like(word)
+    for out, given in ((before, word), (second, before)):
+        out[1:] = given[:-1]
+        out[first[:-1]] = start
+    v, x, w, number = trigrams(before, second, word, len(found))
+    part = (mix(found[v]) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    kept = np.flatnonzero(np.arange(len(found)) != start)
+    by = kept[np.argsort(root_part(found[kept], parts), kind="stable")]
+    rank = np.empty(len(found), dtype=np.int64)
+    rank[by] = np.arange(len(by))
+    train = np.repeat(~np.array([held_out(i) for i in ids], dtype=bool), np.diff(first))
+    return Chunk(ids, train, first, found[by], rank[word], part[order], tuple(found[k[order]] for k in (v, x, w)), place[number])
+
+
+def _stirling(discount: float, customers: int, tables: int) -> np.ndarray:
+    """[c, t]: the logarithm of the generalised Stirling number, the weight of all ways to seat c customers at t tables."""
+    log = np.full((customers + 1, tables + 2), -np.inf)
+    log[0, 0] = 0
+    t = np.arange(1, tables + 2)
+    for c in range(1, customers + 1):
+        with np.errstate(divide="ignore"):
+            log[c, 1:] = np.logaddexp(log[c - 1, :-1], log[c - 1, 1:] + np.log(np.maximum(c - 1 - discount * t, 0)))
+    return log
 
-    def __post_init__(self):
-        self.chance = _alone(self.discount)
-        self.n = int(self.restaurant.max()) + 1 if len(self.restaurant) else 0
 
-    def alone(self, rows: np.ndarray) -> np.ndarray:
-        c, t = self.c[rows], self.t[rows]
-        small = self.chance[np.minimum(c, TABLE), np.minimum(t, TABLE + 1)]
-        return np.where(c <= TABLE, small, np.where(t > 1, self.discount * t / np.maximum(c, 1), 0.0))
+def _alone(discount: float) -> np.ndarray:
+    """[c, t]: the chance that a given one of c customers has one of the dish's t tables to himself."""
+    log = _stirling(discount, TABLE, TABLE)
+    out = np.zeros((TABLE + 1, TABLE + 2))
+    with np.errstate(invalid="ignore"):
+        out[1:, 1:] = np.where(np.isfinite(log[1:, 1:]), np.exp(log[:-1, :-1] - log[1:, 1:]), 0)
+    return out
+
 
-    def totals(self, scale: float) -> tuple[np.ndarray, np.ndarray]:
-        """Customers and tables of each restaurant; scaled up, as this part has its share of all dishes."""
-        return (np.bincount(self.restaurant, self.c, self.n) * scale, np.bincount(self.restaurant, self.t, self.n) * scale)
+_LOGS: dict[float, np.ndarray] = {}
 
 
-def seat(restaurant: np.ndarray, word: np.ndarray, c: np.ndarray, parts: int, seed: int) -> dict[str, np.ndarray]:
-    """Sample the tables of the pairs (leaf restaurant, word number) with c customers each, ordered by word.
+def _log_weights(discount: float, c: np.ndarray, most: int) -> np.ndarray:
+    """Rows of log Stirling weights of 1 up to `most` tables (at most TABLE), but for a constant a row.
 
+    They are exact up to CUSTOMERS customers; beyond, the ratio of neighbours goes to its limit 1 / (discount t) as c**-discount does.
+    """
+    if discount not in _LOGS:
+        _LOGS[discount] = _stirling(discount, CUSTOMERS, TABLE)
+    log = _LOGS[discount][np.minimum(c, CUSTOMERS), 1 : most + 1]
+    far = c > CUSTOMERS
+    if far.any():
+        limit = 1 / (discount * np.arange(1, most))
+        known = np.exp(np.diff(_LOGS[discount][CUSTOMERS, 1 : most + 1]))
+        ratio = limit - (limit - known) * ((CUSTOMERS / c[far]) ** discount)[:, None]
+        log[far, 0] = 0
+        log[far, 1:] = np.log(ratio).cumsum(axis=1)
+    return log
+
+
+def _many(c: np.ndarray, discount: float, weight) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of the tables of c customers, for many of both.
+
+    Tables of all sizes are Poisson variables conditioned on their sum c: with weight a of a new table, a x (1 - x)**(d - 1) = c
+    gives x, and a (1 - (1 - x)**d) / d tables are expected. weight(t) is a and the slope of its logarithm at t tables.
+    """
+    t = np.sqrt(c)
+    for _ in range(60):
+        a = weight(t)[0]
+        ratio = np.log(a / c)
+        y = np.minimum(np.maximum(ratio / (1 - discount), -700.0), -c / (a + c))  # log(1 - x), by Newton's steps
+        for _ in range(60):
+            e = np.exp(y)
+            step = (ratio + np.log1p(-e) + (discount - 1) * y) / (discount - 1 - e / (1 - e))
+            y = np.clip(y - step, -700.0, y / 64)
+            if (np.abs(step) <= 1e-9 * np.abs(y)).all():
+                break
+        after = np.clip(a * -np.expm1(discount * y) / discount, 1, c)
+        done = (np.abs(after - t) <= 1e-5 * t).all()
+        t = after
+        if done:
+            break
+    a, slope = weight(t)
+    x = -np.expm1(y)
+    spread = c + a * (1 - discount) * x**2 * np.exp((discount - 2) * y)
+    own = np.maximum(t - c**2 / spread, 1e-9)
+    return t, np.sqrt(1 / np.maximum(1 / own - slope, 0.1 / own))
+
+
+def draw(rng, c, others, level, customers, tables, rest_chance, total):
+    """Tables of dishes with c customers each, drawn from their distribution given all else; it does not depend on tables so far.
+
+    others: tables of the restaurant's other dishes. customers, tables: those of the dish in the restaurant above, of `total`
+    customers there, without its customers from here; each table here adds one. rest_chance: what its tables there leave to the dish.
+    """
+    discount, strength = DISCOUNT[level], STRENGTH[level]
+    taken = DISCOUNT[level + 1] * np.maximum(tables, 1)
+    t = np.ones(len(c), dtype=np.int64)
+    rest = np.flatnonzero(c > 1)
+    large = rest[c[rest] > TABLE]
+    if len(large):
+        o, n, g = others[large], customers[large] - taken[large], STRENGTH[level + 1] + total[large]
+        left = rest_chance[large]
+
+        def weight(t):
+            a = (strength + discount * (o + t)) * (np.maximum(n + t, 0) + left) / (g + t)
+            return a, discount / (strength + discount * (o + t)) + 1 / (np.maximum(n + t, 0) + left) - 1 / (g + t)
+
+        mean, deviation = _many(c[large].astype(np.float64), discount, weight)
+        many = mean > TABLE / 3
+        t[large[many]] = np.clip(np.rint(rng.normal(mean[many], deviation[many])), 1, c[large[many]])
+        rest = np.concatenate([rest[c[rest] <= TABLE], large[~many]])
+    wide = np.minimum(c[rest], TABLE)
+    for low, most in zip((1, 2, 4, 8, 16, 32, 64), (2, 4, 8, 16, 32, 64, TABLE)):
+        rows = rest[(wide > low) & (wide <= most)]
+        for first in range(0, len(rows), BLOCK // most):
+            r = rows[first : first + BLOCK // most]
+            i = np.arange(most)
+            above = np.maximum(customers[r, None] + i - taken[r, None], 0) + rest_chance[r, None]
+            log = np.log(strength + discount * (others[r, None] + i)) + np.log(above / (STRENGTH[level + 1] + total[r, None] + i))
+            log = log.cumsum(axis=1) + _log_weights(discount, c[r], most)
+            w = np.exp(log - log.max(axis=1, keepdims=True)).cumsum(axis=1)
+            t[r] = 1 + (w < rng.random((len(r), 1)) * w[:, -1:]).sum(axis=1)
+    return np.minimum(t, c)
+
+
+def root_chance(customers: np.ndarray, total: float | np.ndarray, words: int) -> np.ndarray:
+    """The root's chance of words with so many customers there, of `total` over all `words` words; one word is unknown."""
+    return (np.maximum(customers - DISCOUNT[2], 0) + unknown(words)) / (STRENGTH[2] + total)
+
+
+def unknown(words: int) -> float:
+    """What the root's tables, one a word, leave to each word and to the unknown one."""
+    return (STRENGTH[2] + DISCOUNT[2] * words) / (words + 1)
+
+
+def seat(restaurant: np.ndarray, word: np.ndarray, c: np.ndarray, start: int | np.ndarray, seed: int, up: np.ndarray | None = None, given: tuple[np.ndarray, float, int] | None = None) -> dict[str, np.ndarray]:
+    """Sample the tables of the pairs (leaf restaurant, word number) with c customers each; they start with `start` tables at most.
+
+    up: the parent restaurant of each leaf restaurant (half its number unless given); all leaves of a parent must be here, so
+    totals of restaurants are counted. given: the root's customers of each word, of all words, and the number of words, when
+    other pairs of these words are elsewhere.
     Returns the averages over the samples: t of each pair, the parent's c and t (`mid`: the parent dish of each pair), and
     the root's c of each word.
     """
     rng = np.random.default_rng(seed)
-    words = int(word.max()) + 1
-    both = word * (1 << 20) + restaurant // 2
-    middle, mid = np.unique(both, return_inverse=True)
-    leaf = Level(restaurant, c.astype(np.int64), np.minimum(c, np.ceil(c**0.7)).astype(np.int64), DISCOUNT[0], STRENGTH[0])
-    parent = Level(middle % (1 << 20), np.bincount(mid, leaf.t).astype(np.int64), np.ones(len(middle), dtype=np.int64), DISCOUNT[1], STRENGTH[1])
-    mid_word = middle >> 20
-    root = np.bincount(mid_word, parent.t, words)
-    base = 1 / (words * parts + 1)
-    many = [np.flatnonzero((leaf.c > 1) & (leaf.restaurant % 2 == k)) for k in (0, 1)]
+    words, n = int(word.max()) + 1, int(restaurant.max()) + 1
+    up = np.arange(n) // 2 if up is None else up
+    c = c.astype(np.int64)
+    middle, mid = np.unique(up[restaurant].astype(np.int64) * words + word, return_inverse=True)
+    above, mid_word = middle // words, middle % words
+    m = int(above.max()) + 1
+    t = np.minimum(c, start)
+    mid_c = np.bincount(mid, t).astype(np.int64)
+    mid_t = np.ones(len(middle), dtype=np.int64)
+    root = np.bincount(mid_word, mid_t, words)
+    # a single customer has a single table; the leaves of a parent take turns
+    turns = [np.flatnonzero((c > 1) & (restaurant % 2 == k)) for k in (0, 1)]
     sums = [np.zeros(len(c)), np.zeros(len(middle)), np.zeros(len(middle)), np.zeros(words)]
+    one = np.ones(len(middle))
     for sweep in range(BURN_IN + SAMPLES):
-        for rows in many:  # the two leaves of a parent take turns
-            if not len(rows):
-                continue
-            lc, lt = leaf.totals(parts)
-            mc, mt = parent.totals(parts)
-            total = root.sum() * parts
-            unknown = (STRENGTH[2] + DISCOUNT[2] * words * parts) * base
-            m = mid[rows]
-            root_p = (np.maximum(root[mid_word[m]] - DISCOUNT[2], 0) + unknown) / (STRENGTH[2] + total)
-            r = parent.restaurant[m]
-            parent_p = (parent.c[m] - parent.discount * parent.t[m] + (parent.strength + parent.discount * mt[r]) * root_p) / (parent.strength + mc[r])
-            # one customer of each dish stands up ...
-            up = rng.random(len(rows)) < leaf.alone(rows)
-            t = leaf.t[rows] - up
-            # ... and sits down, at a new table or not
-            fresh = (leaf.strength + leaf.discount * lt[leaf.restaurant[rows]]) * parent_p
-            old = np.where(t > 0, leaf.c[rows] - 1 - leaf.discount * t, 0)
-            new = rng.random(len(rows)) * (fresh + old) < fresh
-            leaf.t[rows] = t + new
-            # a table more or less is a customer more or less of the parent
-            less, more = m[up & ~new], m[new & ~up]
-            gone = (rng.random(len(less)) < parent.alone(less)) & (parent.t[less] > 1)
-            parent.c[less] -= 1
-            parent.t[less] -= gone
-            np.subtract.at(root, mid_word[less[gone]], 1)
-            fresh = (parent.strength + parent.discount * mt[parent.restaurant[more]]) * root_p[new & ~up]
-            old = parent.c[more] - parent.discount * parent.t[more]
-            opened = rng.random(len(more)) * (fresh + old) < fresh
-            parent.c[more] += 1
-            parent.t[more] += opened
-            np.add.at(root, mid_word[more[opened]], 1)
-        # the parents' customers change places too
-        rows = np.flatnonzero(parent.c > 1)
-        mc, mt = parent.totals(parts)
-        total = root.sum() * parts
-        root_p = (np.maximum(root[mid_word[rows]] - DISCOUNT[2], 0) + (STRENGTH[2] + DISCOUNT[2] * words * parts) * base) / (STRENGTH[2] + total)
-        up = rng.random(len(rows)) < parent.alone(rows)
-        t = parent.t[rows] - up
-        fresh = (parent.strength + parent.discount * mt[parent.restaurant[rows]]) * root_p
-        old = np.where(t > 0, parent.c[rows] - 1 - parent.discount * t, 0)
-        new = rng.random(len(rows)) * (fresh + old) < fresh
-        parent.t[rows] = t + new
-        np.add.at(root, mid_word[rows], new.astype(np.float64) - up)
+        top, total, known = (root, root.sum(), words) if given is None else given
+        for several in turns:
+            r, dish = restaurant[several], mid[several]
+            own = t[several]
+            without = mid_c[dish] - own
+            tables = np.minimum(mid_t[dish], without)
+            gone = mid_t[dish] - tables
+            all_t, all_c = np.bincount(above, mid_t, m)[above[dish]], np.bincount(above, mid_c, m)[above[dish]]
+            p = root_chance(np.maximum(top[mid_word[dish]] - gone, 0), np.maximum(total - gone, 0), known)
+            t[several] = draw(rng, c[several], np.bincount(restaurant, t, n)[r] - own, 0, without, tables, (STRENGTH[1] + DISCOUNT[1] * (all_t - gone)) * p, all_c - own)
+            mid_c = np.bincount(mid, t).astype(np.int64)
+            mid_t = np.minimum(mid_t, mid_c)
+        own = np.minimum(mid_t, mid_c)
+        others = np.bincount(above, own, m)[above] - own
+        mid_t = draw(rng, mid_c, others, 1, np.maximum(top[mid_word] - own, 0), one, one * unknown(known), np.maximum(total - own, 0))
+        root = np.bincount(mid_word, mid_t, words)
         if sweep >= BURN_IN:
-            for s, x in zip(sums, (leaf.t, parent.c, parent.t, root)):
+            for s, x in zip(sums, (t, mid_c, mid_t, root)):
                 s += x / SAMPLES
-    return {"t": sums[0], "mid": mid, "mid_c": sums[1], "mid_t": sums[2], "mid_restaurant": parent.restaurant, "root": sums[3]}
+    return {"t": sums[0], "mid": mid, "mid_c": sums[1], "mid_t": sums[2], "mid_restaurant": above, "root": sums[3]}
 
 
 def _bundle(**columns) -> bytes:
@@ -215,90 +304,119 @@ def _opened(body: bytes) -> dict[str, np.ndarray]:
     return {n: table.column(n).to_numpy() for n in table.schema.names}
 
 
-def _chunk(blobs: pa.Table, frequent: np.ndarray, parts: int):
-    table = unpack(blobs)
-    ids = table.column("doc_id").to_pylist()
-    held = np.array([held_out(i) for i in ids], dtype=bool)
-    h, context, first = tokens(*text_bytes(table.column("text")), frequent)
-    return ids, held, first, distinct(h, context, parts)
+def _spans(part: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """(part, begin, end) of the parts that occur in an ordered array."""
+    bounds = np.searchsorted(part, np.arange(parts + 1))
+    return [(k, int(bounds[k]), int(bounds[k + 1])) for k in np.flatnonzero(np.diff(bounds)).tolist()]
+
+
+def _table(kinds: str, rows: list[tuple]) -> pa.Table:
+    schema = pa.schema([(n, _KINDS[k]) for n, k in (c.split() for c in kinds.split(", "))])
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def _asked(frequent: np.ndarray, parts: int):
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def _asked(parts: int):
     def run(key, blobs):
-        """A chunk's pairs with their training counts, by part of the vocabulary."""
-        _, held, first, (part, h, context, number) = _chunk(blobs, frequent, parts)
-        train = np.repeat(~held, np.diff(first))
-        counts = np.bincount(number[train], minlength=len(h))
-        bounds = np.searchsorted(part, np.arange(parts + 1))
-        full = np.flatnonzero(np.diff(bounds)).tolist()
-        bodies = [_bundle(h=h[a:b], context=context[a:b].astype(np.int16), c=counts[a:b].astype(np.int32)) for a, b in zip(bounds[full], bounds[[p + 1 for p in full]])]
-        return pa.Table.from_arrays([pa.array(full, pa.int32()), pa.array([key[0].as_py()] * len(full), pa.int32()), pa.array(bodies, pa.binary())], schema=PAIRS)
+        """A chunk's trigrams with their training counts, by part, and its words with theirs, by the root's parts."""
+        k = _chunk(blobs, parts)
+        counts = np.bincount(k.number[k.train], minlength=len(k.part)).astype(np.int32)
+        rows = []
+        for p, a, b in _spans(k.part, parts):
+            used, code = np.unique(np.concatenate([h[a:b] for h in k.hashes]), return_inverse=True)
+            v, x, w = code.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).reshape(3, b - a)
+            rows.append((p, key[0].as_py(), True, _bundle(h=used), _bundle(v=v, x=x, w=w, c=counts[a:b])))
+        counts = np.bincount(k.word[k.train], minlength=len(k.words))
+        rows += [(p, key[0].as_py(), False, None, _bundle(h=k.words[a:b], c=counts[a:b])) for p, a, b in _spans(root_part(k.words, parts), parts)]
+        return _table(PAIRS, rows)
 
     return run
 
 
-ANSWER = "chunk int, part int, body binary, level int, restaurant int, customers double, tables double"
-_ANSWER = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("body", pa.binary()), ("level", pa.int32()), ("restaurant", pa.int32()), ("customers", pa.float64()), ("tables", pa.float64())])
-
+def _seated(parts: int, known: tuple[float, int] | None, last: bool):
+    """known: the root's customers and words of the round before; without, each dish of a parent counts as one table."""
 
-def _sampled(parts: int):
-    def run(key, rows):
-        """Sample one part of the vocabulary; answer every chunk pair by pair, and report the restaurants' totals (chunk -1)."""
+    def run(key, rows, replies=None):
+        """Sample the restaurants of one part, tell the root's parts their tables, and after the last round answer every chunk."""
         part = key[0].as_py()
         chunks = rows.column("chunk").to_pylist()
         order = sorted(range(len(chunks)), key=chunks.__getitem__)
+        if not order:
+            return _table(MAIL, [])
+        lists = [_opened(rows.column("words")[i].as_py())["h"] for i in order]
         asked = [_opened(rows.column("body")[i].as_py()) for i in order]
-        h = np.concatenate([a["h"] for a in asked])
-        context = np.concatenate([a["context"] for a in asked]).astype(np.int64)
-        c = np.concatenate([a["c"] for a in asked]).astype(np.int64)
-        by = np.lexsort((context, h))
-        new = np.ones(len(by), dtype=bool)
-        new[1:] = (h[by][1:] != h[by][:-1]) | (context[by][1:] != context[by][:-1])
-        pair = np.empty(len(by), dtype=np.int64)
-        pair[by] = new.cumsum() - 1
-        pair_h, pair_context = h[by][new], context[by][new]
-        count = np.bincount(pair, c).astype(np.int64)
-        fresh = np.ones(len(pair_h), dtype=bool)
-        fresh[1:] = pair_h[1:] != pair_h[:-1]
-        word = fresh.cumsum() - 1  # of each pair
-        word_c = np.bincount(word, count).astype(np.int64)
-        out = {"own": np.zeros(len(count)), "parent": np.zeros(len(count)), "root": np.zeros(len(word_c))}
-        totals: list[tuple[int, int, float, float]] = []
+        words = np.unique(np.concatenate(lists))
+        codes = [np.searchsorted(words, h) for h in lists]
+        v, x, w, number = trigrams(*(np.concatenate([code[a[n]] for code, a in zip(codes, asked)]) for n in "vxw"), len(words))
+        count = np.bincount(number, np.concatenate([a["c"] for a in asked])).astype(np.int64)
+        sizes = [len(a["c"]) for a in asked]
+        del asked, lists, codes
+        # numbers of the leaves, and of the parent of each
+        parents, v = np.unique(v, return_inverse=True)
+        _, first, leaf = np.unique(v * len(words) + x, return_index=True, return_inverse=True)
+        up = v[first]
         trained = np.flatnonzero(count)
-        if len(trained):
-            known = np.flatnonzero(word_c)
-            renumbered = np.searchsorted(known, word[trained])
-            s = seat(pair_context[trained], renumbered, count[trained], parts, part)
-            out["own"][trained] = count[trained] - DISCOUNT[0] * s["t"]
-            out["root"][known] = s["root"] - DISCOUNT[2]
-            # the parent's share of a pair never seen in training, but whose parent has the word
-            mid_key = s["mid_c"] - DISCOUNT[1] * s["mid_t"]
-            middle = np.zeros(len(mid_key), dtype=np.int64)
-            middle[s["mid"]] = word[trained] * (1 << 20) + pair_context[trained] // 2
-            wanted = word * (1 << 20) + pair_context // 2
-            at = np.minimum(np.searchsorted(middle, wanted), len(middle) - 1)
-            out["parent"] = np.where(middle[at] == wanted, mid_key[at], 0.0)
-            for level, restaurant, customers, tables in ((0, pair_context[trained], count[trained], s["t"]), (1, s["mid_restaurant"], s["mid_c"], s["mid_t"]),
-                                                         (2, np.zeros(len(known), dtype=np.int64), s["root"], np.ones(len(known))), (3, np.zeros(len(known), dtype=np.int64), word_c[known], np.ones(len(known)))):
-                a, b = np.bincount(restaurant, customers), np.bincount(restaurant, tables)
-                totals += [(level, r, float(a[r]), float(b[r])) for r in np.flatnonzero(b).tolist()]
-        bodies, at = [], 0
-        for a in asked:
-            p = pair[at : at + len(a["h"])]
-            at += len(a["h"])
-            bodies.append(_bundle(own=out["own"][p].astype(np.float32), parent=out["parent"][p].astype(np.float32), root=out["root"][word[p]].astype(np.float32), c=word_c[word[p]]))
-        n, k = len(bodies), len(totals)
-        return pa.Table.from_arrays([
-            pa.array([chunks[i] for i in order] + [-1] * k, pa.int32()), pa.array([part] * (n + k), pa.int32()), pa.array(bodies + [None] * k, pa.binary()),
-            pa.array([None] * n + [t[0] for t in totals], pa.int32()), pa.array([None] * n + [t[1] for t in totals], pa.int32()),
-            pa.array([None] * n + [t[2] for t in totals], pa.float64()), pa.array([None] * n + [t[3] for t in totals], pa.float64())], schema=_ANSWER)
-
-    return run
+        mine, dish = np.unique(w[trained], return_inverse=True)
+        to = root_part(words[mine], parts)
+        by = np.argsort(to, kind="stable")
+        tables = np.zeros(len(mine))
+        if known is None:
+            tables += np.bincount(np.unique(v[trained] * (len(mine) + 1) + dish) % (len(mine) + 1), minlength=len(mine))
+        elif len(trained):
+            source = np.argsort(replies.column("source").to_numpy())
+            top = np.empty(len(mine))
+            top[by] = np.concatenate([_opened(replies.column("body")[int(i)].as_py())["t"] for i in source])
+            s = seat(leaf[trained], dish, count[trained], 1, part, up, (top, *known))
+            tables = s["root"]
+        out = [(p, -1 - part, False, _bundle(h=words[mine[by[a:b]]], t=tables[by[a:b]])) for p, a, b in _spans(to[by], parts)]
+        if last:
+            own, shared, n = np.zeros(len(count)), np.zeros(len(count)), len(parents)
+            sums = [(np.zeros(len(up)), np.zeros(len(up))), (np.zeros(n), np.zeros(n))]
+            if len(trained):
+                own[trained] = count[trained] - DISCOUNT[0] * s["t"]
+                # the parent's share also of a trigram never seen in training, if its parent has the word
+                held = s["mid_c"] - DISCOUNT[1] * s["mid_t"]
+                middle = np.zeros(len(held), dtype=np.int64)
+                middle[s["mid"]] = v[trained] * len(words) + w[trained]
+                wanted = v * len(words) + w
+                at = np.minimum(np.searchsorted(middle, wanted), len(middle) - 1)
+                shared = np.where(middle[at] == wanted, held[at], 0.0)
+                sums = [(np.bincount(leaf[trained], count[trained], len(up)), np.bincount(leaf[trained], s["t"], len(up))),
+                        (np.bincount(s["mid_restaurant"], s["mid_c"], n), np.bincount(s["mid_restaurant"], s["mid_t"], n))]
+            share, rest = Totals(*sums, 0.0, 0, 0).shares(leaf, own, shared, up)
+            at = 0
+            for i, size in zip(order, sizes):
+                p = number[at : at + size]
+                at += size
+                out.append((chunks[i], part, True, _bundle(share=share[p].astype(np.float32), rest=rest[p].astype(np.float32))))
+        return _table(MAIL, out)
+
+    return run if known is not None else lambda key, rows: run(key, rows)
+
+
+def _summed(key, rows):
+    """Sum the customers of one of the root's parts; tell every source, parts and chunks, those of its words."""
+    part = key[0].as_py()
+    sources = rows.column("source").to_pylist()
+    order = sorted(range(len(sources)), key=sources.__getitem__)
+    told = [_opened(rows.column("body")[i].as_py()) for i in order]
+    words = np.unique(np.concatenate([m["h"] for m in told]))
+    at = [np.searchsorted(words, m["h"]) for m in told]
+    sums = {}
+    for n in "tc":
+        sums[n] = np.zeros(len(words))
+        for a, m in zip(at, told):
+            if n in m:
+                sums[n][a] += m[n]
+    out = [(sources[i], part, _bundle(**{n: sums[n][a] for n in ("tc" if "c" in m else "t")}), None, None, None) for i, a, m in zip(order, at, told)]
+    return _table(SUMS, [*out, (None, part, None, float(sums["t"].sum()), int((sums["t"] > 0).sum()), int(sums["c"].sum()))])
 
 
 @dataclass
 class Totals:
-    """Customers and tables of every restaurant, the tokens and words of training."""
+    """Customers and tables of restaurants, the tokens and words of training."""
 
     leaf: tuple[np.ndarray, np.ndarray]
     parent: tuple[np.ndarray, np.ndarray]
@@ -306,73 +424,39 @@ class Totals:
     words: int
     tokens: int
 
+    def shares(self, context, own, parent, up=None):
+        """What leaf and parent give a word themselves, and the factor of the root's chance. up: as for seat()."""
+        share, rest = np.zeros(len(own)), np.ones(len(own))
+        for mine, (customers, tables), level, r in ((parent, self.parent, 1, context // 2 if up is None else up[context]), (own, self.leaf, 0, context)):
+            weight = STRENGTH[level] + DISCOUNT[level] * tables[r]
+            share, rest = (mine + weight * share) / (STRENGTH[level] + customers[r]), weight * rest / (STRENGTH[level] + customers[r])
+        return share, rest
+
     def probability(self, context, own, parent, root):
         """Averaged predictive probability of a word in a leaf context: one share of each level. Over all words and one
         unknown word they add up to 1."""
-        base = 1 / (self.words + 1)
-        p = (root + (STRENGTH[2] + DISCOUNT[2] * self.words) * base) / (STRENGTH[2] + self.root)
-        for share, (customers, tables), level, r in ((parent, self.parent, 1, context // 2), (own, self.leaf, 0, context)):
-            p = (share + (STRENGTH[level] + DISCOUNT[level] * tables[r]) * p) / (STRENGTH[level] + customers[r])
-        return p
-
-
-def _totals(answers: DataFrame, contexts: int) -> Totals:
-    rows = answers.where("chunk = -1").groupBy("level", "restaurant").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).collect()
-    sides = [(np.zeros(contexts), np.zeros(contexts)) for _ in range(2)]
-    root, words, count = 0.0, 0, 0
-    for r in rows:
-        if r["level"] < 2:
-            sides[r["level"]][0][r["restaurant"]], sides[r["level"]][1][r["restaurant"]] = r["c"], r["t"]
-        elif r["level"] == 2:
-            root = r["c"]
-        else:
-            words, count = round(r["t"]), round(r["c"])
-    return Totals(sides[0], sides[1], root, words, count)
-
-
-def _scored(frequent: np.ndarray, parts: int, totals: Totals):
+        share, rest = self.shares(context, own, parent)
+        return share + rest * (root + unknown(self.words)) / (STRENGTH[2] + self.root)
+
+
+def _scored(parts: int, customers: float, words: int, total: int):
     def run(key, blobs, answers):
-        ids, held, first, (_, _, context, number) = _chunk(blobs, frequent, parts)
-        part = answers.column("part").to_numpy()
-        got = [_opened(answers.column("body")[int(i)].as_py()) for i in np.argsort(part)]
-        own, parent, root, c = (np.concatenate([g[n] for g in got]).astype(np.float64) for n in ("own", "parent", "root", "c"))
-        score = np.log10(totals.probability(context.astype(np.int64), own, parent, root))[number]
-        base = np.log10((c + 1) / (totals.tokens + totals.words + 1))[number]
-        known = (c > 0)[number]
+        k = _chunk(blobs, parts)
+        source, answer = answers.column("source").to_numpy(), answers.column("answer").to_numpy(zero_copy_only=False)
+        got = {kind: [_opened(answers.column("body")[int(i)].as_py()) for i in np.lexsort((source,)) if answer[i] == kind] for kind in (True, False)}
+        share, rest = (np.concatenate([g[n] for g in got[True]]).astype(np.float64)[k.number] for n in ("share", "rest"))
+        t, c = (np.concatenate([g[n] for g in got[False]])[k.word] for n in "tc")
+        score = np.log10(share + rest * root_chance(t, customers, words))
+        base = np.log10((c + 1) / (total + words + 1))
+        first = k.first[:-1]
         return pa.Table.from_arrays([
-            pa.array(ids, pa.int64()), pa.array(held), pa.array(np.diff(first), pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), first[:-1]), pa.int64()),
-            pa.array(np.full(len(ids), totals.tokens), pa.int64()), pa.array(np.add.reduceat(base, first[:-1])), pa.array(np.add.reduceat(score, first[:-1]))], schema=OUT)
+            pa.array(k.ids, pa.int64()), pa.array([held_out(i) for i in k.ids], pa.bool_()), pa.array(np.diff(k.first), pa.int64()),
+            pa.array(np.add.reduceat((c > 0).astype(np.int64), first), pa.int64()), pa.array(np.full(len(k.ids), total), pa.int64()),
+            pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(score, first))], schema=OUT)
 
     return run
 
 
-def frequent_words(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the words that are at least FREQUENT of the training tokens.
-
-    A task reports the words that are half that share of its own tokens, so each task reports 400 at most; a word that is
-    rarer than that wherever it occurs can't be frequent.
-    """
-
-    def run(batches):
-        counts: dict[int, int] = {}
-        total = 0
-        for batch in batches:
-            train = np.array([not held_out(i) for i in batch.column("doc_id").to_pylist()], dtype=bool)
-            h, _, first = tokens(*text_bytes(batch.column("text")), np.zeros(0, np.uint64))
-            h = h[np.repeat(train, np.diff(first))]
-            total += len(h)
-            value, n = np.unique(h[h != END], return_counts=True)
-            for v, k in zip(value[n * 800 >= len(h)].tolist(), n[n * 800 >= len(h)].tolist()):
-                counts[v] = counts.get(v, 0) + k
-        rows = [(v, k) for v, k in counts.items() if k * 400 >= total] + [(0, total)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array([v for v, _ in rows], np.uint64).view(np.int64)), pa.array([k for _, k in rows], pa.int64())], names=["h", "n"])
-
-    rows = docs.select("doc_id", "text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    total = rows.where("h = 0").select(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = rows.where((F.col("h") != 0) & (F.col("n") >= F.lit(total) * FREQUENT)).select("h").collect()
-    return np.sort(np.array([r["h"] for r in found], dtype=np.int64).view(np.uint64))
-
-
 def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -384,11 +468,22 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chunks = chunk_count(docs, chunk_bytes)
-    frequent = frequent_words(docs)
     blobs = pack(docs, chunks)
-    asked = blobs.groupBy("chunk").applyInArrow(_asked(frequent, chunks), "part int, chunk int, body binary")
-    answers = written(asked.groupBy("part").applyInArrow(_sampled(chunks), ANSWER), "answers")
-    totals = _totals(answers, 2 * len(frequent) + 2)
+    asked = written(blobs.groupBy("chunk").applyInArrow(_asked(chunks), PAIRS), "trigrams")
+    pairs = asked.where("pairs").select("part", "chunk", "words", "body")
+    known = replies = None
+    for left in range(ROUNDS, -1, -1):
+        run = _seated(chunks, known, left == 0)
+        told = pairs.groupBy("part").applyInArrow(run, MAIL) if known is None else pairs.groupBy("part").cogroup(replies.groupBy("target")).applyInArrow(run, MAIL)
+        told = written(told, "tables")
+        tables = told.where("not answer").select(F.col("target").alias("part"), "source", "body")
+        if left == 0:
+            tables = tables.unionByName(asked.where("not pairs").select("part", F.col("chunk").alias("source"), "body"))
+        sums = written(tables.groupBy("part").applyInArrow(_summed, SUMS), "root")
+        total = sums.where("target is null").agg(F.sum("customers"), F.sum("words"), F.sum("tokens")).first()
+        known = (total[0] or 0.0, total[1] or 0)
+        replies = sums.where("target < 0").select((-1 - F.col("target")).alias("target"), "source", "body")
+    answers = told.where("answer").select("target", "source", "answer", "body").unionByName(
+        sums.where("target >= 0").select("target", "source", F.lit(False).alias("answer"), "body"))
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    replies = answers.where("chunk >= 0").select("chunk", "part", "body")
-    return blobs.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_scored(frequent, chunks, totals), kinds)
+    return blobs.groupBy("chunk").cogroup(answers.groupBy("target")).applyInArrow(_scored(chunks, *known, total[2] or 0), kinds)

@@ -336,3 +336,48 @@ def test_scores_of_odd_rows(spark, odd, nothing):
     held = next(i for i in range(100) if pitman_yor.held_out(i))
     lone = pitman_yor.score(spark.createDataFrame([(held, "nothing to learn from")], "doc_id long, text string")).first()
     assert lone.train_tokens == 0 and lone.n_known == 0 and lone.score == lone.base_score == 0
+
+
+def test_rare_words_are_contexts(spark):
+    """Each of 400 words foretells the next one; none is a two-hundredth of the tokens."""
+    rng = random.Random(8)
+    texts = [" ".join(f"left{k} right{k}" for k in rng.sample(range(400), 30)) for _ in range(200)]
+    rows = pitman_yor.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).where("held_out")
+    r = rows.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+    # about half the tokens follow from the word before, so they cost little more than nothing
+    assert r.score / r.n > 0.65 * r.base / r.n
+
+
+@pytest.mark.parametrize("customers", [50, 100_000])
+def test_tables_do_not_depend_on_where_they_start(customers):
+    rng = np.random.default_rng(5)
+    words = np.arange(3000)
+    context, word = np.repeat([0, 1, 2], 3000), np.tile(words, 3)
+    count = np.maximum(1, (20_000 / (words + 3) * rng.exponential(1, (3, 3000))).astype(int)).ravel()
+    count[0] = customers
+    mean = []
+    for start in (1, customers):
+        first = np.ones(len(count), dtype=np.int64)
+        first[0] = start
+        mean.append(np.mean([pitman_yor.seat(context, word, count, first, seed)["t"][0] for seed in range(12)]))
+    assert max(mean) < 1.5 * min(mean)  # sweeps are few; what other dishes made of the start fades over more of them
+
+
+@pytest.mark.parametrize("c, others, customers, tables, rest, total", [(60, 100, 5, 1, 1e-3, 1000), (1000, 5000, 50, 10, 0.5, 1e4), (3000, 50_000, 100, 20, 1.0, 1e5), (9000, 10, 0, 0, 0.01, 100)])
+def test_drawn_tables_match_their_distribution(c, others, customers, tables, rest, total):
+    most, n, i = 2000, 3000, np.arange(2000)
+    taken = pitman_yor.DISCOUNT[1] * max(tables, 1)
+    log = pitman_yor._stirling(pitman_yor.DISCOUNT[0], c, most)[c, 1 : most + 1]
+    log = log + np.log((pitman_yor.STRENGTH[0] + pitman_yor.DISCOUNT[0] * (others + i)) * (np.maximum(customers + i - taken, 0) + rest) / (pitman_yor.STRENGTH[1] + total + i)).cumsum()
+    p = np.exp(log - log.max()) / np.exp(log - log.max()).sum()
+    mean = (p * (i + 1)).sum()
+    all_ = lambda x: np.full(n, float(x))
+    t = pitman_yor.draw(np.random.default_rng(1), np.full(n, c), all_(others), 0, all_(customers), all_(tables), all_(rest), all_(total))
+    assert t.mean() == pytest.approx(mean, rel=0.03) and t.std() == pytest.approx(np.sqrt((p * (i + 1 - mean) ** 2).sum()), rel=0.1, abs=0.05)
+
+
+def test_scores_do_not_depend_on_the_number_of_parts(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    one, many = ({(r.doc_id, r.n_tokens): r.score for r in pitman_yor.score(docs, size).collect()} for size in (pitman_yor.CHUNK_BYTES, 1 << 15))
+    assert one.keys() == many.keys() and sum(many.values()) == pytest.approx(sum(one.values()), rel=0.005)
+    assert all(many[k] == pytest.approx(one[k], rel=0.03) for k in one)
