@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from loyalscope.llm.common import NOT_SPACE, Words, chunk_count, groups, mix, pack, text_bytes, unpack, written
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Sweeps of a round, and rounds: after each, the root's customers are summed over all parts.
-BURN_IN, SAMPLES = 10, 4
+BURN_IN, SAMPLES = 4, 4
 ROUNDS = 2
 #: Discount and strength of leaf, parent and root restaurants.
 DISCOUNT = (0.8, 0.75, 0.6)
@@ -348,6 +348,7 @@ def _seated(parts: int, known: tuple[float, int] | None, last: bool):
         lists = [_opened(rows.column("words")[i].as_py())["h"] for i in order]
         asked = [_opened(rows.column("body")[i].as_py()) for i in order]
         words = np.unique(np.concatenate(lists))
+        pa.default_memory_pool().release_unused()
         codes = [np.searchsorted(words, h) for h in lists]
         v, x, w, number = trigrams(*(np.concatenate([code[a[n]] for code, a in zip(codes, asked)]) for n in "vxw"), len(words))
         count = np.bincount(number, np.concatenate([a["c"] for a in asked])).astype(np.int64)
