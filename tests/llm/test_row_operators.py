@@ -252,3 +252,25 @@ def test_pieces_of_odd_rows(odd, nothing, library):
     assert sentencepiece_codec.digests(nothing, model).count() == 0
     empty = {r.doc_id: r for r in sentencepiece_codec.digests(odd, model).collect()}
     assert empty[2].n_tokens == 0 and empty[2].ids_sha256 == empty[3].ids_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_planted_loose_spans_are_added_and_clean_texts_stay_clean(spark):
+    rng = __import__("random").Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+
+    def card():
+        start = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        return next(start + d for d in "0123456789" if pii.luhn(start + d))
+
+    def text(i):
+        middle = (f"{word()}{i}@{word()}.example.com", card(), f"+1 ({rng.randint(201, 989)}) 555-{rng.randint(1000, 9999)}", f"{rng.randint(0, 10**16):016d}", f"{rng.randint(1, 9)}.{rng.randint(10, 99)}", f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}")[i % 6]
+        return " ".join([*(word() for _ in range(8)), middle, *(word() for _ in range(8))])
+
+    detector = pii.train(spark.createDataFrame([(i, text(i)) for i in range(1800)], "doc_id long, text string"))
+    number = card()
+    spaced = ".".join(number[i : i + 4] for i in (0, 4, 8, 12))
+    for kind, span in (("email", "jane.roe (at) mail (dot) example (dot) com"), ("card", spaced), ("phone", "1 (743) 555-3824")):
+        full = f"abc dfe {span} hij abd"
+        assert detector.spans(full) == [(8, 8 + len(span), kind)]
+    for clean in ("abc 7.25 dfe", "abd 2021-11-12 hij", "abc 9182736455463728 gha", "meet (at) noon", "the year 1999.2000", spaced[:-1] + str((int(spaced[-1]) + 1) % 10)):
+        assert detector.spans(clean) == pii.strict_spans(clean)
