@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,10 +73,17 @@ SPELLINGS = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Copyright notices: lines that name a year or carry a sign, wherever they are, and those at a paragraph's start that go on
+#: with a holder. Lines of wrapped bodies that happen to begin with these words stay.
+NOTICE = r"(?m)^[ \t/*#;-]*((copyright|\(c\)|©)[ \t:,]*(\(c\)|©|[0-9]{4}|[\[<{])|all rights reserved)[^\n]*$"
+HOLDER = (r"(?m)(?:\A|^[ \t/*#;-]*\n)[ \t/*#;-]*(copyright|©)(?![ \t]+(notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|the|in|on|"
+          r"of|to|is|as|that|interests?|treaty|disclaimers?|protection|ownership|applies)\b)[^\n]*$")
+
+
 def canonical(text: Column) -> Column:
-    """Lower-case ASCII words without copyright lines, punctuation and variant spellings, one space apart."""
+    """Lower-case ASCII words without copyright notices, punctuation and variant spellings, one space apart."""
     out = F.translate(text, UPPER, LOWER)
-    out = F.regexp_replace(out, r"(?m)^[ \t/*#;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$", " ")
+    out = F.regexp_replace(F.regexp_replace(out, NOTICE, " "), HOLDER, " ")
     out = F.concat(F.lit(" "), F.regexp_replace(out, r"[\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—]+", " "), F.lit(" "))
     for other, usual in SPELLINGS:
         out = F.replace(out, F.lit(f" {other} "), F.lit(f" {usual} "))
@@ -85,9 +94,16 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known(spark: SparkSession, licenses=LICENSES) -> DataFrame:
+def shipped() -> list[tuple[str, str]]:
+    """(licence, text) of the whole licences that come with this package."""
+    folder = resources.files("loyalscope.llm") / "licenses"
+    return sorted((f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in folder.iterdir())
+
+
+def known(spark: SparkSession, licenses=None) -> DataFrame:
     """Rows (license_digest, license_id), one for each digest; of two ids with one digest the smaller stays."""
-    rows = spark.createDataFrame(list(licenses), "license_id string, body string")
+    licenses = [*LICENSES, *shipped()] if licenses is None else list(licenses)
+    rows = spark.createDataFrame(licenses, "license_id string, body string")
     return rows.groupBy(digest(F.col("body")).alias("license_digest")).agg(F.min("license_id").alias("license_id"))
 
 

@@ -32,6 +32,35 @@ def test_license_digest_ignores_case_punctuation_and_holders(spark):
     assert license_scan.scan(docs.where("1 = 0")).count() == 0
 
 
+def test_wrapped_licenses_keep_their_digest(spark):
+    import textwrap
+
+    rows = []
+    for license_id, body in license_scan.LICENSES:
+        for width in (30, 40, 55, 61, 72, 79, 100):
+            wrapped = "\n\n".join(textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in body.split("\n\n"))
+            rows.append((len(rows), license_id, wrapped))
+    isc = license_scan.LICENSES[2][1].replace("the above copyright notice", "the above\ncopyright notice")
+    rows += [(len(rows), "ISC", isc), (len(rows) + 1, "MIT", "MIT License\nCopyright 1999 Someone\nCopyright (C) 2001 Another\n\n" + license_scan.LICENSES[1][1]),
+             (len(rows) + 2, "MIT", "Copyright Someone Else\n\n" + license_scan.LICENSES[1][1])]
+    got = {r.doc_id: r.license_id for r in license_scan.scan(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")).collect()}
+    assert [(i, got[i]) for i, want, _ in rows if got[i] != want] == []
+
+
+def test_whole_licenses_are_found_at_any_width(spark):
+    import re
+    import textwrap
+
+    rows = []
+    for license_id, text in license_scan.shipped():
+        paragraphs = re.split(r"\n[ \t]*\n", text)
+        for width in (None, 50, 72, 100):  # notices keep lines of their own
+            rewrap = lambda p: p if width is None or re.search(r"(?im)^\W*(copyright|all rights)", p) else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False)  # noqa: E731,B023
+            rows.append((len(rows), license_id, "\n\n".join(map(rewrap, paragraphs))))
+    got = {r.doc_id: r.license_id for r in license_scan.scan(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")).collect()}
+    assert len(rows) == 36 and [(i, want, got[i]) for i, want, _ in rows if got[i] != want] == []
+
+
 # Sharding
 
 
