@@ -382,3 +382,11 @@ def test_scores_do_not_depend_on_the_number_of_parts(spark):
     one, many = ({(r.doc_id, r.n_tokens): r.score for r in pitman_yor.score(docs, size).collect()} for size in (pitman_yor.CHUNK_BYTES, 1 << 15))
     assert one.keys() == many.keys() and sum(many.values()) == pytest.approx(sum(one.values()), rel=0.005)
     assert all(many[k] == pytest.approx(one[k], rel=0.03) for k in one)
+
+
+def test_a_hot_word_is_scored_alike_by_any_number_of_parts(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"the w{min(int(rng.paretovariate(0.8)), 3000)}" for _ in range(40)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, many = (pitman_yor.score(docs, size).agg(F.sum("score")).first()[0] for size in (pitman_yor.CHUNK_BYTES, 1 << 13))
+    assert many == pytest.approx(one, rel=0.003)
