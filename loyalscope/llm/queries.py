@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalscope.llm import decontamination, embedding_join, jaccard_join, language_id, license_scan, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
+from loyalscope.llm import decontamination, embedding_join, exact_dedup, jaccard_join, language_id, license_scan, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
 from loyalscope.llm.common import read
 
 #: Where the vocabulary files of public tokenizers are.
@@ -70,5 +70,9 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), piece_model())
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op5_pitman_yor, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece)}
-ORACLES = {"op1_embedding_join": embedding_join.oracle(), "op2_license_scan": license_scan.oracle(), "op3_jaccard_join": jaccard_join.oracle(), "op8_decontamination": decontamination.oracle()}
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.classify(read(spark, sf_dir, "documents"), digests=True).withColumnRenamed("digest", "text_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op5_pitman_yor, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece, op13_exact_dedup)}
+ORACLES = {"op1_embedding_join": embedding_join.oracle(), "op2_license_scan": license_scan.oracle(), "op3_jaccard_join": jaccard_join.oracle(), "op8_decontamination": decontamination.oracle(), "op13_exact_dedup": exact_dedup.oracle()}
