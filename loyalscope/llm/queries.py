@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalscope.llm import decontamination, embedding_join, exact_dedup, jaccard_join, language_id, license_scan, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
+from loyalscope.llm import decontamination, embedding_join, exact_dedup, jaccard_join, language_id, license_scan, periodic_runs, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
 from loyalscope.llm.common import read
 
 #: Where the vocabulary files of public tokenizers are.
@@ -70,9 +71,29 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), piece_model())
 
 
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Words of which, in one document of ten, a stretch from some word on is repeated to the end."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find(docs, rewrite=planted_period).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classify(read(spark, sf_dir, "documents"), digests=True).withColumnRenamed("digest", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op5_pitman_yor, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece, op13_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op5_pitman_yor, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece, op12_periodic_runs, op13_exact_dedup)}
 ORACLES = {"op1_embedding_join": embedding_join.oracle(), "op2_license_scan": license_scan.oracle(), "op3_jaccard_join": jaccard_join.oracle(), "op8_decontamination": decontamination.oracle(), "op13_exact_dedup": exact_dedup.oracle()}
