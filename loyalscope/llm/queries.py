@@ -8,8 +8,8 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalscope.llm import decontamination, embedding_join, exact_dedup, jaccard_join, language_id, license_scan, periodic_runs, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
-from loyalscope.llm.common import read
+from loyalscope.llm import decontamination, embedding_join, exact_dedup, jaccard_join, language_id, lexical_search, license_scan, periodic_runs, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
+from loyalscope.llm.common import read, written
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -71,6 +71,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read(spark, sf_dir, "documents"), piece_model())
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = written(lexical_search.index(read(spark, sf_dir, "documents")), "index")
+    return lexical_search.search(made, read(spark, sf_dir, "benchmark"))
+
+
 def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Words of which, in one document of ten, a stretch from some word on is repeated to the end."""
     h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
@@ -95,5 +100,5 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classify(read(spark, sf_dir, "documents"), digests=True).withColumnRenamed("digest", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op5_pitman_yor, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece, op12_periodic_runs, op13_exact_dedup)}
-ORACLES = {"op1_embedding_join": embedding_join.oracle(), "op2_license_scan": license_scan.oracle(), "op3_jaccard_join": jaccard_join.oracle(), "op8_decontamination": decontamination.oracle(), "op13_exact_dedup": exact_dedup.oracle()}
+QUERIES = {f.__name__: f for f in (op1_embedding_join, op2_license_scan, op3_jaccard_join, op4_sharding, op5_pitman_yor, op6_suffix_dedup, op7_language_id, op8_decontamination, op9_pii, op10_sentencepiece, op11_lexical_search, op12_periodic_runs, op13_exact_dedup)}
+ORACLES = {"op1_embedding_join": embedding_join.oracle(), "op2_license_scan": license_scan.oracle(), "op3_jaccard_join": jaccard_join.oracle(), "op8_decontamination": decontamination.oracle(), "op11_lexical_search": lexical_search.oracle(), "op13_exact_dedup": exact_dedup.oracle()}
