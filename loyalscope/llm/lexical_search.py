@@ -74,7 +74,8 @@ def _listed(segment: int, rows: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def index(docs: DataFrame) -> DataFrame:
-    """Rows (segment, term, docs, counts) over all documents; keep them to search them again.
+    """Rows (segment, term, docs, counts) over all documents, written to the shared folder: segments are numbered where they
+    are read, so that a search must not work them out anew. Save them elsewhere to search them in another session.
 
     Terms are letters A to Z, digits and non-ASCII characters in a row, A to Z lower-cased, as 64-bit hashes. A segment's row
     without a term has the doc_id of its documents and their numbers of terms; the others have places among these documents, and
@@ -90,7 +91,7 @@ def index(docs: DataFrame) -> DataFrame:
                 made += 1
         pa.default_memory_pool().release_unused()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, INDEX)
+    return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, INDEX), "index")
 
 
 def _terms(items: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyalscope.llm import decontamination, embedding_join, exact_dedup, jaccard_join, language_id, lexical_search, license_scan, periodic_runs, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
-from loyalscope.llm.common import read, written
+from loyalscope.llm.common import read
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -72,8 +72,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = written(lexical_search.index(read(spark, sf_dir, "documents")), "index")
-    return lexical_search.search(made, read(spark, sf_dir, "benchmark"))
+    return lexical_search.search(lexical_search.index(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
 
 
 def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
