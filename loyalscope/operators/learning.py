@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from loyalscope import schema
 from loyalscope.functions import quoted, risk_band, round_even
 from loyalscope.operators.cleaning import impute_median
+from loyalscope.operators.formulas import Formula
 from loyalscope.operators.quality import rows_of
 from loyalscope.operators.segments import drop_incomplete
 from loyalscope.session import checkpointing, written
@@ -150,8 +151,13 @@ def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str]
         weighted.unpersist()
 
 
-def probability(df: DataFrame, model: PipelineModel, out: str = "score") -> DataFrame:
-    """Add the unrounded probability of churn; the model's own columns are dropped again."""
+def probability(df: DataFrame, model: PipelineModel | Formula, out: str = "score") -> DataFrame:
+    """Add the unrounded probability of churn; the model's own columns are dropped again.
+
+    A formula is an expression over the feature columns, without vectors; it suits models of up to some ten thousand splits.
+    """
+    if isinstance(model, Formula):
+        return df.withColumn(out, model.column())
     scored = model.transform(df)
     return scored.select(*[F.col(quoted(c)) for c in df.columns], vector_to_array(F.col("probability"))[1].alias(out))
 
@@ -166,8 +172,10 @@ def predictions(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFra
     return rows.select(F.inline(F.array(*each)))
 
 
-def model_features(model: PipelineModel) -> list[str]:
+def model_features(model: PipelineModel | Formula) -> list[str]:
     """The input columns of a fitted model, in order."""
+    if isinstance(model, Formula):
+        return model.features
     return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
 
 
@@ -199,7 +207,7 @@ def add_risk(df: DataFrame, score: str = "score", closed: str = "right", digits:
     }).drop(score)
 
 
-def score(df: DataFrame, model: PipelineModel, fill: str = "median", approx: bool = False) -> DataFrame:
+def score(df: DataFrame, model: PipelineModel | Formula, fill: str = "median", approx: bool = False) -> DataFrame:
     """Score every row; the input columns come back unchanged, with the three score columns added.
 
     ``fill="median"`` fills missing features with the batch median (whole batches), ``fill="zero"``

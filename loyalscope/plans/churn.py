@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loyalscope import schema
 from loyalscope.functions import binary_code, flag, revenue_category
 from loyalscope.operators import cleaning, evaluation, features, learning, offers, quality
+from loyalscope.operators.formulas import Formula
 from loyalscope.session import cleanup, last_written, written, written_so_far
 from loyalscope.sources import artifacts, files, tables
 
@@ -106,7 +107,7 @@ def train(rows: DataFrame, models=tuple(learning.MODELS), settings: dict | None
     return Training(every, metrics, best, learning.importance(every[best], rows.sparkSession), path)
 
 
-def score_profiles(profiles: DataFrame, model: PipelineModel) -> DataFrame:
+def score_profiles(profiles: DataFrame, model: PipelineModel | Formula) -> DataFrame:
     """Features, score and offer for raw profiles of any number, as a prediction form would give them."""
     return offers.recommend(learning.score(features.profile_features(profiles), model, fill="zero"), with_priority=True)
 
