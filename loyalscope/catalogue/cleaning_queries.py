@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loyalscope import schema
 from loyalscope.catalogue.base import cleaned, query, raw, table
-from loyalscope.operators import cleaning, quality
+from loyalscope.operators import cleaning, duplicates, quality
 
 _MEDIAN = "(SELECT quantile_cont(TotalCharges, 0.5) FROM num)"
 
@@ -55,7 +55,7 @@ def _twice(spark, sf_dir):
 
 @query("c5_drop_duplicates", "SELECT * FROM sub")
 def drop_duplicates(spark, sf_dir):
-    return _twice(spark, sf_dir).dropDuplicates()
+    return duplicates.drop_duplicates(_twice(spark, sf_dir))
 
 
 @query("c6_duplicate_count", f"""SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from loyalscope.functions import is_blank, is_missing
+from loyalscope.functions import is_blank, is_missing, quoted
+from loyalscope.operators import duplicates
 from loyalscope.session import written
 
 COPIES_PER_TASK = 100_000
@@ -20,14 +21,14 @@ def rows_of(df: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) -> Data
 
 def _missing_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("_rows"), *[
-        F.count_if(is_missing(F.col(f"`{f.name}`"), f.dataType)).alias(f.name) for f in df.schema])
+        F.count_if(is_missing(F.col(quoted(f.name)), f.dataType)).alias(f.name) for f in df.schema])
 
 
 def null_report(df: DataFrame) -> DataFrame:
     """Missing count and percent of every column that has any, from one pass."""
-    percent = lambda c: F.round(F.try_divide(F.col(f"`{c}`") * F.lit(100.0), F.col("_rows").cast("double")), 2)
+    percent = lambda c: F.round(F.try_divide(F.col(quoted(c)) * F.lit(100.0), F.col("_rows").cast("double")), 2)
     return rows_of(_missing_counts(df), [
-        [("column", F.lit(c)), ("missing_count", F.col(f"`{c}`")), ("missing_pct", percent(c))] for c in df.columns
+        [("column", F.lit(c)), ("missing_count", F.col(quoted(c))), ("missing_pct", percent(c))] for c in df.columns
     ]).where(F.col("missing_count") > 0)
 
 
@@ -42,13 +43,9 @@ def blank_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return rows_of(counts, [[("column", F.lit(c)), ("blanks", F.col(c))] for c in cols])
 
 
-def _copies(df: DataFrame) -> DataFrame:
-    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
-
-
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """One row: how many rows repeat an earlier one."""
-    return _copies(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    """One row: how many rows repeat an earlier one. Rows without a copy are not shuffled."""
+    return duplicates.copies(df).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -57,18 +54,18 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     Copies are counted before the shuffle; a row with very many copies is then written out by
     several tasks, never by one.
     """
-    surplus = _copies(df).where(F.col("_copies") > 1)
+    surplus = duplicates.copies(df)
     last_slice = F.expr(f"(_copies - 2) div {COPIES_PER_TASK}")
     slices = surplus.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last_slice)))
     # a fixed number of partitions: the slices are tiny before they are written out, and adaptive
     # execution would otherwise put them all into one task
     spark = df.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    spread = slices.repartition(tasks, F.xxhash64("_slice", *[F.col(f"`{c}`") for c in df.columns]))
+    spread = slices.repartition(tasks, F.xxhash64("_slice", *[F.col(quoted(c)) for c in df.columns]))
     size = F.least(F.lit(COPIES_PER_TASK), F.col("_copies") - 1 - F.col("_slice") * COPIES_PER_TASK)
     return (
         spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size.cast("bigint"))))
-        .select(*[F.col(f"`{c}`") for c in df.columns])
+        .select(*[F.col(quoted(c)) for c in df.columns])
     )
 
 
@@ -89,17 +86,17 @@ def validate(df: DataFrame, label: str) -> DataFrame:
     """Rows (check, passed, detail) for missing values, duplicates and the label's type."""
     counts = _missing_counts(df)
     named = F.concat_ws(", ", *[
-        F.when(F.col(f"`{c}`") > 0, F.concat(F.lit(f"{c}="), F.col(f"`{c}`").cast("string"))) for c in df.columns])
+        F.when(F.col(quoted(c)) > 0, F.concat(F.lit(f"{c}="), F.col(quoted(c)).cast("string"))) for c in df.columns])
     nulls = counts.select(F.lit("no_missing_values").alias("check"),
                           (named == "").alias("passed"), named.alias("detail"))
-    duplicates = duplicate_count(df).select(
+    repeats = duplicate_count(df).select(
         F.lit("no_duplicate_rows").alias("check"), (F.col("duplicate_rows") == 0).alias("passed"),
         F.col("duplicate_rows").cast("string").alias("detail"))
     kind = df.schema[label].dataType
     whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     typed = df.sparkSession.range(1).select(F.lit("label_is_integer").alias("check"), F.lit(whole).alias("passed"),
                           F.lit(kind.simpleString()).alias("detail"))
-    return nulls.unionByName(duplicates).unionByName(typed)
+    return nulls.unionByName(repeats).unionByName(typed)
 
 
 def is_valid(df: DataFrame, label: str) -> bool:
@@ -113,7 +110,7 @@ def compare(before: DataFrame, after: DataFrame, col: str) -> DataFrame:
     for side, df in (("before", before), ("after", written(after, "after"))):
         kind = df.schema[col].dataType
         blanks = F.count_if(is_blank(F.col(col))) if isinstance(kind, T.StringType) else F.lit(0)
-        missing = sum((F.count_if(is_missing(F.col(f"`{f.name}`"), f.dataType)) for f in df.schema), blanks)
+        missing = sum((F.count_if(is_missing(F.col(quoted(f.name)), f.dataType)) for f in df.schema), blanks)
         facts = df.agg(F.count("*").alias("rows"), missing.alias("missing"))
         facts = facts.withColumn("duplicates", duplicate_count(df).scalar())
         sides.append(rows_of(facts, [
