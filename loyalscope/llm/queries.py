@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +10,16 @@ from pyspark.sql import functions as F
 from loyalscope.llm import decontamination, embedding_join, exact_dedup, jaccard_join, language_id, lexical_search, license_scan, periodic_runs, pii, pitman_yor, sentencepiece_codec, sharding, suffix_dedup
 from loyalscope.llm.common import read
 
-#: Where the vocabulary files of public tokenizers are.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 SHARDS = 40
 
 
-def piece_model(folder: str = TOKENIZERS) -> bytes:
-    with open(os.path.join(folder, "piece_bpe_32k.model"), "rb") as file:
+def piece_model(path: str | None = None) -> bytes:
+    """The vocabulary file of the public tokenizer, or another one."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    with open(path, "rb") as file:
         return file.read()
 
 

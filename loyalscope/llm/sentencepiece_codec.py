@@ -2,28 +2,33 @@
 
 BPE pieces of a text are found without merging: for every prefix of a word, the last piece of the prefix's encoding is the
 one automaton match ending there that is compatible with the last piece of what stands before it. Two pieces are compatible
-if the two, put together, are encoded as just these two. The ids are then read off backwards from the end of the word.
+if the two, put together, are encoded as just these two. The ids are then read off backwards from the end of the word. The words
+of some texts are worked out together, each distinct one once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import struct
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyalscope.llm.common import appended
+from loyalscope.llm.common import appended, groups, text_bytes
 
 SPACE = "▁"
-#: A task forgets its known words beyond this many, and at its end; they are then worked out again.
-REMEMBERED = 100_000
-PAIRS = 500_000  # and so with tests of pairs, which a worker keeps
-SLICE = 500  # documents whose ids are held at once
+#: Words in the younger of two generations of known ones; when it is full it becomes the older one, which is forgotten then.
+REMEMBERED = 150_000
+LONGEST = 64  # letters of a word that is remembered
+PAIRS = 200_000  # tests of pairs that a worker keeps
+TEXT_BYTES = 1 << 20  # text whose words are worked out together
 #: Runs of spaces with the characters behind them; no piece joins a character and a space behind it. A line break stands alone.
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -62,11 +67,17 @@ class Codec:
         self.utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode()
                      for i, p in enumerate(proto.pieces)]
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[bytes, str, bytes]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self._plan_unions()
 
     def merged(self, text: str) -> list[str]:
         """The definition: of all neighbours whose union is a piece, the best-scored, leftmost pair is united, again and again."""
-        parts = list(text)
+        return self._united(text)[0]
+
+    def _united(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """merged(), and the two parts that were united last."""
+        parts, last = list(text), None
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -75,14 +86,61 @@ class Codec:
                     best, at = score, i
             if at < 0:
                 break
+            last = parts[at], parts[at + 1]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return parts, last
+
+    def _plan_unions(self) -> None:
+        """When each piece is made: by rank, if none is made before its parts and no two have one score. Pieces of spaces alone may."""
+        longer = sorted((p for p in self.score if len(p) > 1), key=lambda p: -self.score[p])
+        words = [p for p in longer if p.strip(SPACE)]
+        self.rank = {p: i for i, p in enumerate(longer)}
+        self.halves = {}
+        for piece in longer:
+            if set(piece) <= self.chars:
+                parts, last = self._united(piece)
+                if parts == [piece]:
+                    self.halves[piece] = last
+        made = lambda p: self.rank.get(p, -1)
+        self.ranked = len(set(map(self.score.get, words))) == len(words) and all(made(p) > max(map(made, self.halves[p])) for p in words if p in self.halves)
+        self.sides: dict[tuple[str, int], list[tuple[str, float, float]]] = {}
+
+    def _side(self, piece: str, side: int) -> list[tuple[str, float, float]]:
+        """What stands at the piece's left (0) or right (1) end while it is made, from which rank on and until which."""
+        got = self.sides.get((piece, side))
+        if got is None:
+            got, until, part = [], math.inf, piece
+            while part in self.halves:
+                got.append((part, self.rank[part], until))
+                until, part = self.rank[part], self.halves[part][side]
+            got.append((part, -1, until))
+            self.sides[piece, side] = got
+        return got
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether two pieces stay two when put together: what stands at either side of the border is never united.
+
+        Unions go by rank. Parts that exist at one time are united if they make a piece, unless the left one is used up at that
+        very rank, which comes first; the right one being used up at that rank comes later.
+        """
+        if not self.ranked or not left.strip(SPACE):
+            return self.merged(left + right) == [left, right]
+        if right[0] == SPACE:
+            return True
+        for x, from_x, to_x in self._side(left, 1):
+            for y, from_y, to_y in self._side(right, 0):
+                if from_y < to_x and from_x <= to_y:
+                    rank = self.rank.get(x + y)
+                    if rank is not None:
+                        at = max(rank, from_x, from_y)
+                        if at < to_x and at <= to_y:
+                            return False
+        return True
 
     def _compatible(self, a: int, b: int) -> bool:
-        left, right = self.pieces[a], self.pieces[b]
         if len(self.pairs) >= PAIRS:
             self.pairs.clear()
-        answer = self.pairs[a << 20 | b] = self.merged(left + right) == [left, right]
+        answer = self.pairs[a << 20 | b] = self.apart(self.pieces[a], self.pieces[b])
         return answer
 
     def _segment(self, text: str) -> list[int]:
@@ -123,26 +181,35 @@ class Codec:
             known = ""
         return ids + (self._segment(known) if known else [])
 
-    def look_up(self, unit: str) -> tuple[bytes, str, bytes]:
-        """The ids as 32-bit integers in a row, the ids as text, and the bytes they stand for."""
-        got = self.words.get(unit)
-        if got is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            ids = self._unit(unit)
-            got = self.words[unit] = (np.array(ids, dtype="<i4").tobytes(), ",".join([self.digits[i] for i in ids]), self.raw(ids))
-        return got
+    def known(self, units: set[str]) -> dict[str, bytes]:
+        """The ids of each unit as 32-bit integers in a row."""
+        out = {}
+        young, old = self.young, self.old
+        for unit in units:
+            got = young.get(unit)
+            if got is None:
+                got = old.get(unit)
+                if got is None:
+                    ids = self._unit(unit)
+                    got = struct.pack(f"<{len(ids)}i", *ids)
+                if len(unit) <= LONGEST:
+                    young[unit] = got
+                    if len(young) >= REMEMBERED:
+                        old = self.old = young
+                        young = self.young = {}
+            out[unit] = got
+        return out
 
     def units(self, text: str) -> list[str]:
         return _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join([self.look_up(u)[0] for u in self.units(text)]), "<i4").tolist()
+        units = self.units(text)
+        return np.frombuffer(b"".join(map(self.known(set(units)).__getitem__, units)), "<i4").tolist()
 
     def raw(self, ids: Iterable[int]) -> bytes:
         """The UTF-8 bytes of ids, spaces restored; control ids stand for nothing."""
-        utf8 = self.utf8
-        return b"".join([utf8[i] for i in ids])
+        return b"".join(map(self.utf8.__getitem__, ids))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids, without the leading space that encoding adds. Bytes that are no UTF-8 become U+FFFD."""
@@ -156,16 +223,19 @@ def _codec(model: bytes) -> Codec:
 
 
 def _digested(codec: Codec, batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
-    counts, ids, texts, packed = [], [], [], []
-    for value in batch.column("text"):
-        got = [codec.look_up(u) for u in codec.units(value.as_py() or "")]
-        row = b"".join([g[0] for g in got])
-        counts.append(len(row) // 4)
-        ids.append(hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest())
-        texts.append(hashlib.sha256(b"".join([g[2] for g in got])[1:].decode("utf-8", "replace").encode()).hexdigest())
-        packed.append(row if "token_ids" in schema.names else b"")
-    columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array(packed, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns[: len(schema)], schema=schema)
+    texts = [codec.units(value or "") for value in batch.column("text").to_pylist()]
+    known = codec.known(set(chain.from_iterable(texts)))
+    counts, hashes, decoded, packed = [], [], [], []
+    for units in texts:
+        row = b"".join(map(known.__getitem__, units))
+        ids = np.frombuffer(row, "<i4").tolist()
+        counts.append(len(ids))
+        hashes.append(hashlib.sha256(",".join(map(codec.digits.__getitem__, ids)).encode()).hexdigest())
+        decoded.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+        if "token_ids" in schema.names:
+            packed.append(row)
+    columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
+    return pa.RecordBatch.from_arrays(columns + [pa.array(packed, pa.binary())] * (len(schema) - 4), schema=schema)
 
 
 def digests(docs: DataFrame, model: bytes, with_ids: bool = False) -> DataFrame:
@@ -179,12 +249,10 @@ def digests(docs: DataFrame, model: bytes, with_ids: bool = False) -> DataFrame:
 
     def run(batches):
         codec = _codec(model)
-        try:
-            for batch in batches:
-                for first in range(0, batch.num_rows, SLICE):
-                    yield _digested(codec, batch.slice(first, SLICE), schema)
-        finally:
-            codec.words.clear()  # the worker may go on to other work
+        for batch in batches:
+            for first, last in groups(text_bytes(batch.column("text"))[1], TEXT_BYTES):
+                yield _digested(codec, batch.slice(first, last - first), schema)
+        pa.default_memory_pool().release_unused()
 
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kinds)

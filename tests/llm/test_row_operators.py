@@ -303,3 +303,25 @@ def test_planted_loose_spans_are_added_and_clean_texts_stay_clean(spark):
         assert detector.spans(full) == [(8, 8 + len(span), kind)]
     for clean in ("abc 7.25 dfe", "abd 2021-11-12 hij", "abc 9182736455463728 gha", "meet (at) noon", "the year 1999.2000", spaced[:-1] + str((int(spaced[-1]) + 1) % 10)):
         assert detector.spans(clean) == pii.strict_spans(clean)
+
+
+def test_pairs_stay_apart_just_if_merging_leaves_them(codec):
+    rng = random.Random(12)
+    whole = [p for p in codec.halves if codec.merged(p) == [p]] + sorted(codec.chars)
+    short = [p for p in whole if len(p) <= 3]
+    alike = [p for p in whole if len(set(p)) <= 2]
+    pairs = [(rng.choice(some), rng.choice(some)) for some in (whole, short, alike) for _ in range(8000)]
+    pairs += [(p[:k], p[k:]) for p in rng.sample(whole, 3000) for k in range(1, len(p)) if {p[:k], p[k:]} <= codec.score.keys()]
+    pairs = [(a, b) for a, b in pairs if codec.merged(a) == [a] and codec.merged(b) == [b]]
+    assert codec.ranked and [(a, b) for a, b in pairs if codec.apart(a, b) != (codec.merged(a + b) == [a, b])] == []
+
+
+def test_one_unit_of_a_million_letters_and_forgotten_words(codec, library, monkeypatch):
+    rng = random.Random(13)
+    for unit in ("".join(rng.choice("abcdehilnorst") for _ in range(1_000_000)), "a" * 200_000, "é" * 50_000, " " * 100_000):
+        ids = codec.encode(unit)
+        assert ids == library.encode(unit) and codec.decode(ids) == library.decode(ids)
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 7)
+    monkeypatch.setattr(sentencepiece_codec, "PAIRS", 5)
+    text = " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9))) for _ in range(3000))
+    assert codec.encode(text) == library.encode(text)
