@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loyalscope import schema
 from loyalscope.catalogue.base import cleaned, query, raw, table
 from loyalscope.operators import cleaning, duplicates, quality
+from loyalscope.session import written
 
 _MEDIAN = "(SELECT quantile_cont(TotalCharges, 0.5) FROM num)"
 
@@ -115,9 +116,19 @@ def clean_rows(spark, sf_dir):
     return cleaning.clean(raw(spark, sf_dir)).withColumn("TotalCharges", F.round("TotalCharges", 4))
 
 
-@query("c8_intake_report", """SELECT 'rows' AS topic, 'total' AS name, count(*) AS count FROM num
+_INTAKE = """SELECT 'rows' AS topic, 'total' AS name, count(*) AS count FROM num
     UNION ALL SELECT 'missing', 'TotalCharges', count(*) FILTER (WHERE TotalCharges IS NULL) FROM num
     UNION ALL SELECT 'duplicates', 'rows', count(*) - count(DISTINCT customerID) FROM num
-    UNION ALL SELECT 'Churn', Churn, count(*) FROM num GROUP BY Churn""")
+    UNION ALL SELECT 'Churn', Churn, count(*) FROM num GROUP BY Churn"""
+
+
+@query("c8_intake_report", _INTAKE)
 def intake_report(spark, sf_dir):
     return quality.intake_report(cleaning.coerce_number(raw(spark, sf_dir), "TotalCharges"), "Churn")
+
+
+@query("c8_watched_intake", _INTAKE)
+def watched_intake(spark, sf_dir):
+    """The same from what was watched while the rows were written."""
+    rows, seen = quality.watched(cleaning.coerce_number(raw(spark, sf_dir), "TotalCharges"), "Churn", list(schema.YES_NO))
+    return quality.intake_report(written(rows, "snapshot"), "Churn", seen)

@@ -13,7 +13,7 @@ from loyalscope.catalogue.base import (
 from loyalscope.operators import distributions, evaluation, learning
 from loyalscope.plans import churn
 from loyalscope.session import scratch_path, written
-from loyalscope.sources import artifacts
+from loyalscope.sources import artifacts, versions
 
 _AS_DOUBLE = ", ".join(f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in schema.FEATURES)
 
@@ -259,7 +259,7 @@ def full_run(spark, sf_dir):
     config = churn.RunConfig(scratch_path(spark, "run"), with_light_run=True, model_settings=QUICK, table_prefix=f"r{uuid.uuid4().hex[:8]}_")
     final = churn.run(spark, config, raw(spark, sf_dir)).final
     wrong = F.count_if(F.col("OfferID").isNull() | ~F.coalesce(F.col("ChurnProbability").between(0, 1), F.lit(False)))
-    parts = [spark.read.parquet(config.path("backup")), spark.table(config.table_prefix + schema.RAW_TABLE), spark.read.parquet(config.path("processed")),
+    parts = [versions.read(spark, config.path("backup")), spark.table(config.table_prefix + schema.RAW_TABLE), spark.read.parquet(config.path("processed")),
              spark.table(config.table_prefix + schema.CLEANED_TABLE), spark.read.option("header", True).csv(config.path("light")),
              artifacts.read_metrics(spark, config.path("metrics")).models, spark.read.parquet(config.path("report"))]
     names = ["backup", "raw table", "processed", "cleaned table", "light", "metrics", "report"]

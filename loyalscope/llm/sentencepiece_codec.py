@@ -21,20 +21,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyalscope.llm.common import appended, groups, text_bytes
+from loyalscope.llm.common import appended, groups, release, text_bytes
 
 SPACE = "▁"
 #: Words in the younger of two generations of known ones; when it is full it becomes the older one, which is forgotten then.
 REMEMBERED = 150_000
 LONGEST = 64  # letters of a word that is remembered
-PAIRS = 200_000  # tests of pairs that a worker keeps
-TEXT_BYTES = 1 << 20  # text whose words are worked out together
+PAIRS = 400_000  # tests of pairs that a worker keeps
+TEXT_BYTES = 2 << 20  # text whose words are worked out together
 #: Runs of spaces with the characters behind them; no piece joins a character and a space behind it. A line break stands alone.
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
+class Numbers:
+    """Numbers by non-negative 63-bit keys, looked up many at a time: an open hash table of a fixed number of places."""
+
+    def __init__(self, bits: int, dtype=np.int32):
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.full(1 << bits, -1, dtype)
+        self.used = 0
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where there is none."""
+        at = self._first(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.values[at], -1)
+        todo = np.flatnonzero((there != keys) & (there >= 0))
+        while len(todo):  # taken by others: the next place
+            at[todo] = (at[todo] + 1) & self.mask
+            there = self.keys[at[todo]]
+            hit = there == keys[todo]
+            out[todo[hit]] = self.values[at[todo[hit]]]
+            todo = todo[~hit & (there >= 0)]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Keys that are not there yet, each once."""
+        self.used += len(keys)
+        at = self._first(keys)
+        todo = np.arange(len(keys))
+        while len(todo):
+            free = self.keys[at[todo]] < 0
+            self.keys[at[todo[free]]] = keys[todo[free]]  # of several that want one place one gets it
+            won = self.keys[at[todo]] == keys[todo]
+            self.values[at[todo[won]]] = values[todo[won]]
+            todo = todo[~won]
+            at[todo] = (at[todo] + 1) & self.mask
+
+    def clear(self) -> None:
+        self.keys.fill(-1)
+        self.used = 0
+
+
 class Codec:
     """Encoder and decoder for a SentencePiece BPE model with byte fallback and no normalisation but a leading space."""
 
@@ -56,20 +100,22 @@ class Codec:
         self.score = {p: s for p, (s, _) in normal.items()}
         self.id = {p: i for p, (_, i) in normal.items()}
         self.chars = {p for p in normal if len(p) == 1}
+        self._plan_unions()
+        # a piece that merging never reaches can't stand in an encoding; one with an unknown character neither
+        reached = {p: i for p, i in self.id.items() if p in self.chars or p in self.halves}
         self.automaton = ahocorasick.Automaton()
-        for piece, i in self.id.items():
-            # a piece that merging never reaches can't stand in an encoding; one with an unknown character neither
-            if set(piece) <= self.chars and self.merged(piece) == [piece]:
-                self.automaton.add_word(piece, (len(piece), i))
+        for piece, i in reached.items():
+            self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
+        self._plan_steps(reached)
         self.length = [len(p) for p in self.pieces]
+        self.lengths = np.array(self.length)
         self.digits = [str(i) for i in range(len(self.pieces))]
         self.utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode()
                      for i, p in enumerate(proto.pieces)]
-        self.pairs: dict[int, bool] = {}
+        self.pairs = Numbers(20, np.int8)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self._plan_unions()
 
     def merged(self, text: str) -> list[str]:
         """The definition: of all neighbours whose union is a piece, the best-scored, leftmost pair is united, again and again."""
@@ -137,23 +183,106 @@ class Codec:
                             return False
         return True
 
-    def _compatible(self, a: int, b: int) -> bool:
-        if len(self.pairs) >= PAIRS:
-            self.pairs.clear()
-        answer = self.pairs[a << 20 | b] = self.apart(self.pieces[a], self.pieces[b])
-        return answer
+    def _compatible(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether pieces a and b stay apart, for pairs a << 20 | b."""
+        answers = self.pairs.find(pairs)
+        new = np.unique(pairs[answers < 0])
+        if len(new):
+            if self.pairs.used + len(new) > PAIRS:
+                self.pairs.clear()
+                new = np.unique(pairs)
+            pieces = self.pieces
+            tested = np.array([self.apart(pieces[k >> 20], pieces[k & 0xFFFFF]) for k in new.tolist()], np.int8)
+            if len(new) > PAIRS:  # more than the table takes: for these texts alone
+                return tested[np.searchsorted(new, pairs)] == 1
+            self.pairs.add(new, tested)
+            answers = self.pairs.find(pairs)
+        return answers == 1
+
+    def _plan_steps(self, pieces: dict[str, int]) -> None:
+        """The automaton's steps from node to node as a table, for many words at a time."""
+        nodes: dict[tuple[int, str], int] = {}
+        ends = [-1]
+        for piece, i in pieces.items():
+            at = 0
+            for c in piece:
+                step = nodes.get((at, c))
+                if step is None:
+                    step = nodes[at, c] = len(ends)
+                    ends.append(-1)
+                at = step
+            ends[at] = i
+        self.piece_at = np.array(ends, np.int32)
+        self.steps = Numbers(max(4, (4 * len(nodes)).bit_length()))
+        self.steps.add(np.array([a << 21 | ord(c) for a, c in nodes], np.int64), np.array(list(nodes.values()), np.int32))
+        self.longest = max(map(len, pieces), default=0)
+
+    def _segment_all(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as 32-bit integers in a row; all characters are known. The prefix tables of all words are filled
+        side by side, from the shortest prefixes to the longest."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        begin, end = np.repeat(begins, sizes), np.repeat(ends, sizes)
+        at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        starts, stops, pieces = [], [], []
+        for k in range(self.longest):  # all matches, by their length
+            node = self.steps.find(node << 21 | codes[at + k])
+            on = node >= 0
+            at, node = at[on], node[on].astype(np.int64)
+            piece = self.piece_at[node]
+            hit = piece >= 0
+            starts.append(at[hit])
+            stops.append(at[hit] + k + 1)
+            pieces.append(piece[hit])
+            on = at + k + 1 < end[at]
+            at, node = at[on], node[on]
+            if not len(at):
+                break
+        start, stop, piece = np.concatenate(starts), np.concatenate(stops), np.concatenate(pieces).astype(np.int64)
+        prefix = stop - begin[start]  # letters of the prefix that the match ends
+        order = np.argsort(prefix, kind="stable")
+        start, stop, piece = start[order], stop[order], piece[order]
+        cuts = np.cumsum(np.bincount(prefix))
+        last = np.full(len(codes) + 1, -1, np.int64)  # the last piece of the prefix that ends with a letter
+        for a, b in zip(cuts, cuts[1:]):
+            s, p = start[a:b], piece[a:b]
+            fits = s == begin[s]
+            inner = np.flatnonzero(~fits)
+            fits[inner] = self._compatible(last[s[inner] - 1] << 20 | p[inner])
+            last[stop[a:b][fits] - 1] = p[fits]
+        if (last[:-1] < 0).any():
+            raise AssertionError("a prefix without a last piece")
+        steps, whose = [], []
+        at, word = ends - 1, np.arange(len(words))
+        while len(at):
+            found = last[at]
+            steps.append(found)
+            whose.append(word)
+            at = at - self.lengths[found]
+            on = at >= begins[word]
+            at, word = at[on], word[on]
+        counts = np.bincount(np.concatenate(whose), minlength=len(words)) if whose else np.zeros(0, np.int64)
+        firsts = np.cumsum(counts) - counts
+        ids = np.empty(counts.sum(), "<i4")
+        for k, (found, word) in enumerate(zip(steps, whose)):
+            ids[firsts[word] + counts[word] - 1 - k] = found
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * (a + n)] for a, n in zip(firsts.tolist(), counts.tolist())]
 
     def _segment(self, text: str) -> list[int]:
         """Ids of characters that are all known, by the prefix table."""
         last: list[int] = []  # the last piece of each prefix
-        done, pairs = 0, self.pairs
+        done, pairs = 0, {}
         for end, (length, piece) in self.automaton.iter(text):
             if end == done:
                 start = end - length
                 if start >= 0:
-                    answer = pairs.get(last[start] << 20 | piece)
+                    pair = last[start], piece
+                    answer = pairs.get(pair)
                     if answer is None:
-                        answer = self._compatible(last[start], piece)
+                        answer = pairs[pair] = self.apart(self.pieces[pair[0]], self.pieces[piece])
                     if not answer:
                         continue
                 last.append(piece)
@@ -183,21 +312,21 @@ class Codec:
 
     def known(self, units: set[str]) -> dict[str, bytes]:
         """The ids of each unit as 32-bit integers in a row."""
-        out = {}
         young, old = self.young, self.old
-        for unit in units:
-            got = young.get(unit)
-            if got is None:
-                got = old.get(unit)
-                if got is None:
-                    ids = self._unit(unit)
-                    got = struct.pack(f"<{len(ids)}i", *ids)
-                if len(unit) <= LONGEST:
-                    young[unit] = got
-                    if len(young) >= REMEMBERED:
-                        old = self.old = young
-                        young = self.young = {}
-            out[unit] = got
+        out = {unit: young[unit] for unit in units & young.keys()}
+        rest = units - out.keys()
+        again = {unit: old[unit] for unit in rest & old.keys()}
+        rest -= again.keys()
+        plain = [unit for unit in rest if len(unit) <= LONGEST and self.chars.issuperset(unit)]
+        if plain:
+            again.update(zip(plain, self._segment_all(plain)))
+        for unit in rest - again.keys():  # long, or with characters that no piece has
+            ids = self._unit(unit)
+            out[unit] = struct.pack(f"<{len(ids)}i", *ids)
+        out.update(again)
+        young.update(again)
+        if len(young) >= REMEMBERED:
+            self.old, self.young = young, {}
         return out
 
     def units(self, text: str) -> list[str]:
@@ -252,7 +381,7 @@ def digests(docs: DataFrame, model: bytes, with_ids: bool = False) -> DataFrame:
         for batch in batches:
             for first, last in groups(text_bytes(batch.column("text"))[1], TEXT_BYTES):
                 yield _digested(codec, batch.slice(first, last - first), schema)
-        pa.default_memory_pool().release_unused()
+        release()
 
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kinds)

@@ -146,11 +146,19 @@ def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str]
     weighted = balanced_weights(train if partitions is None else train.repartition(partitions)).persist()
     try:
         plans = estimators(features, weighted.count(), settings, seed)
-        return {name: plans[name].fit(weighted) for name in models}
+        return {name: _without_summary(plans[name].fit(weighted)) for name in models}
     finally:
         weighted.unpersist()
 
 
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """Forget the training summary: it holds the session, which can't go to the tasks once it observes something."""
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def probability(df: DataFrame, model: PipelineModel | Formula, out: str = "score") -> DataFrame:
     """Add the unrounded probability of churn; the model's own columns are dropped again.
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from loyalscope.functions import is_blank, is_missing, quoted
 from loyalscope.operators import duplicates
@@ -24,8 +25,48 @@ def _missing_counts(df: DataFrame) -> DataFrame:
         F.count_if(is_missing(F.col(quoted(f.name)), f.dataType)).alias(f.name) for f in df.schema])
 
 
-def null_report(df: DataFrame) -> DataFrame:
-    """Missing count and percent of every column that has any, from one pass."""
+class Watch(NamedTuple):
+    """Counts that are taken while the rows of a frame go by on their way into a file: no scan of their own.
+
+    ``facts`` waits for the first write (or other action) of the watched frame, so ask it after that.
+    """
+
+    observation: Observation
+    columns: list[str]
+    values: list
+
+    def facts(self) -> dict:
+        return self.observation.get
+
+    def rows(self) -> int:
+        return self.facts()["rows"]
+
+    def missing(self) -> dict[str, int]:
+        return {c: self.facts()[f"missing_{i}"] for i, c in enumerate(self.columns)}
+
+    def labels(self) -> dict | None:
+        """Rows by label value; None if the label had values beside the given ones."""
+        facts = self.facts()
+        return None if facts["other"] else {v: facts[f"value_{i}"] for i, v in enumerate(self.values) if facts[f"value_{i}"]}
+
+
+def watched(df: DataFrame, label: str | None = None, values: Sequence = ()) -> tuple[DataFrame, Watch]:
+    """The frame, to be written once, and what it tells by then: rows, missing values by column, rows by label value."""
+    watch = Watch(Observation(), df.columns, list(values))
+    counts = [F.count_if(is_missing(F.col(quoted(f.name)), f.dataType)).alias(f"missing_{i}") for i, f in enumerate(df.schema)]
+    named = F.col(quoted(label)).isin(watch.values) if label else F.lit(False)
+    labels = [F.count_if(F.col(quoted(label)) == v).alias(f"value_{i}") for i, v in enumerate(watch.values)]
+    other = F.count_if(F.col(quoted(label)).isNotNull() & ~named) if label else F.count_if(F.lit(False))
+    return df.observe(watch.observation, F.count("*").alias("rows"), *counts, *labels, other.alias("other")), watch
+
+
+def null_report(df: DataFrame, watch: Watch | None = None) -> DataFrame:
+    """Missing count and percent of every column that has any, from one pass, or from what was watched."""
+    if watch is not None:
+        n = watch.rows()
+        found = [(c, k, n) for c, k in watch.missing().items() if k]
+        rows = df.sparkSession.createDataFrame(found, "column string, missing_count long, n long")
+        return rows.select("column", "missing_count", F.round(F.col("missing_count") * F.lit(100.0) / F.col("n").cast("double"), 2).alias("missing_pct"))
     percent = lambda c: F.round(F.try_divide(F.col(quoted(c)) * F.lit(100.0), F.col("_rows").cast("double")), 2)
     return rows_of(_missing_counts(df), [
         [("column", F.lit(c)), ("missing_count", F.col(quoted(c))), ("missing_pct", percent(c))] for c in df.columns
@@ -82,9 +123,12 @@ def is_unique(df: DataFrame, key: str) -> bool:
     return key_report(df, key).first()["is_unique"]
 
 
-def validate(df: DataFrame, label: str) -> DataFrame:
+def validate(df: DataFrame, label: str, watch: Watch | None = None) -> DataFrame:
     """Rows (check, passed, detail) for missing values, duplicates and the label's type."""
-    counts = _missing_counts(df)
+    if watch is None:
+        counts = _missing_counts(df)
+    else:
+        counts = df.sparkSession.createDataFrame([tuple(watch.missing().values())], T.StructType([T.StructField(c, T.LongType()) for c in watch.columns]))
     named = F.concat_ws(", ", *[
         F.when(F.col(quoted(c)) > 0, F.concat(F.lit(f"{c}="), F.col(quoted(c)).cast("string"))) for c in df.columns])
     nulls = counts.select(F.lit("no_missing_values").alias("check"),
@@ -124,9 +168,9 @@ def compare(before: DataFrame, after: DataFrame, col: str) -> DataFrame:
     return both.groupBy("metric").agg(pick("before"), pick("after"))
 
 
-def dataset_profile(df: DataFrame) -> DataFrame:
+def dataset_profile(df: DataFrame, watch: Watch | None = None) -> DataFrame:
     """(position, column, type, total_rows, total_columns), one row per column."""
-    total = df.agg(F.count("*").alias("total_rows"))
+    total = df.agg(F.count("*").alias("total_rows")) if watch is None else df.sparkSession.createDataFrame([(watch.rows(),)], "total_rows long")
     return rows_of(total, [
         [("position", F.lit(i)), ("column", F.lit(f.name)), ("type", F.lit(f.dataType.simpleString())),
          ("total_rows", F.col("total_rows")), ("total_columns", F.lit(len(df.columns)))]
@@ -134,12 +178,22 @@ def dataset_profile(df: DataFrame) -> DataFrame:
     ])
 
 
-def intake_report(df: DataFrame, label: str) -> DataFrame:
-    """What is worth knowing about fresh input, as (topic, name, count): size, gaps, repeated rows, label values."""
+def intake_report(df: DataFrame, label: str, watch: Watch | None = None) -> DataFrame:
+    """What is worth knowing about fresh input, as (topic, name, count): size, gaps, repeated rows, label values.
+
+    With a watch only repeated rows need a scan, and label values if there were others than those watched for.
+    """
     row = lambda topic, name, count: [F.lit(topic).alias("topic"), name.alias("name"), count.cast("bigint").alias("count")]
-    size = df.agg(F.count("*").alias("n")).select(*row("rows", F.lit("total"), F.col("n")))
-    gaps = null_report(df).select(*row("missing", F.col("column"), F.col("missing_count")))
     repeats = duplicate_count(df).select(*row("duplicates", F.lit("rows"), F.col("duplicate_rows")))
+    if watch is not None:
+        known = [("rows", "total", watch.rows()), *(("missing", c, n) for c, n in watch.missing().items() if n)]
+        known += [(label, str(v), n) for v, n in (watch.labels() or {}).items()]
+        found = df.sparkSession.createDataFrame(known, "topic string, name string, count long").unionByName(repeats)
+        if watch.labels() is not None:
+            return found
+    else:
+        size = df.agg(F.count("*").alias("n")).select(*row("rows", F.lit("total"), F.col("n")))
+        found = size.unionByName(null_report(df).select(*row("missing", F.col("column"), F.col("missing_count")))).unionByName(repeats)
     labels = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).select(
         *row(label, F.col(label).cast("string"), F.col("n")))
-    return size.unionByName(gaps).unionByName(repeats).unionByName(labels)
+    return found.unionByName(labels)

@@ -155,13 +155,16 @@ def run(spark: SparkSession, config: RunConfig, raw: DataFrame | None = None) ->
     start = written_so_far()
     if raw is None:
         raw = files.read_raw(spark, config.source, config.source_format)
-    raw = files.snapshot(files.require_columns(raw, schema.RAW.fieldNames()), config.path("backup"))
+    # rows, gaps and labels are counted while the rows are written
+    raw, seen = quality.watched(files.require_columns(raw, schema.RAW.fieldNames()), schema.LABEL, list(schema.YES_NO))
+    raw = files.snapshot(raw, config.path("backup"))
 
-    files.write_parquet(transform(raw, config.levels, config.approx, config.max_levels), config.path("processed"))
+    made, seen_made = quality.watched(transform(raw, config.levels, config.approx, config.max_levels))
+    files.write_parquet(made, config.path("processed"))
     processed = spark.read.parquet(config.path("processed"))
     # written, so that a later run into the same folder can't change what this one found
-    files.write_parquet(quality.intake_report(raw, schema.LABEL), config.path("intake"))
-    files.write_parquet(quality.validate(processed, schema.LABEL), config.path("report"))
+    files.write_parquet(quality.intake_report(raw, schema.LABEL, seen), config.path("intake"))
+    files.write_parquet(quality.validate(processed, schema.LABEL, seen_made), config.path("report"))
     intake, report = (spark.read.parquet(config.path(name)) for name in ("intake", "report"))
 
     training = None

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loyalscope import schema
 from loyalscope.functions import finite, quoted
+from loyalscope.sources import versions
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -92,9 +93,11 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Keep a copy of the untouched input (overwriting the last one) and go on from the copy."""
-    write_parquet(df, path)
-    return df.sparkSession.read.parquet(path)
+    """Keep a copy of the untouched input (replacing the last one once it is complete) and go on from the copy.
+
+    ``versions.read`` gives the copy of a path.
+    """
+    return df.sparkSession.read.parquet(versions.write(df, path))
 
 
 def export(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from loyalscope import schema
+from loyalscope.functions import quoted
 from loyalscope.operators.features import decode_one_hot
 from loyalscope.operators.segments import keep_columns
+from loyalscope.sources import versions
 from loyalscope.sources.files import path_exists, read_stage
 
 BATCH_ROWS = 5_000
@@ -19,7 +21,7 @@ BATCH_ROWS = 5_000
 
 def create_table(spark: SparkSession, name: str, columns: T.StructType, path: str | None = None) -> None:
     """Create the table if it does not exist; with a path it is kept there."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in columns)
     place = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet{place}")
 
@@ -32,8 +34,23 @@ def create_tables(spark: SparkSession, prefix: str = "", folder: str | None = No
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    """Replace a table's rows: they are written to a folder of their own, and the table is then pointed to it.
+
+    The table's entry in the catalog is the switch, so a write that fails leaves the table as it was. A table with other columns
+    than the rows is defined anew, after they are written. Without a path the versions go to ``<name>.versions`` in the
+    warehouse. A query that began before keeps the folder that it reads until the table is replaced a second time.
+    """
+    spark = df.sparkSession
+    home = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.versions"
+    place = versions.write(df, home)
+    if spark.catalog.tableExists(name):
+        same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]
+        if same:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    create_table(spark, name, df.schema, place)
 
 
 def raw_table_rows(df: DataFrame) -> DataFrame:

@@ -325,3 +325,24 @@ def test_one_unit_of_a_million_letters_and_forgotten_words(codec, library, monke
     monkeypatch.setattr(sentencepiece_codec, "PAIRS", 5)
     text = " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9))) for _ in range(3000))
     assert codec.encode(text) == library.encode(text)
+
+
+def test_long_words_take_no_longer_than_other_text():
+    import time
+
+    spoken = "write to some one (at) host (dot) org. " * 3
+    for word in ("x" * 1_000_000 + "@", "x@" * 200_000, "1" * 1_000_000, "1." * 300_000, "+1" * 300_000, "a(at)" * 200_000, "4 " * 300_000, "%" * 1_000_000 + " (at) b"):
+        start = time.process_time()
+        for kind in pii.KINDS:
+            pii.proposals(spoken + word, kind)
+        pii.strict_spans(spoken + word)
+        assert time.process_time() - start < 30, word[:5]  # quadratic search would take hours
+
+
+def test_looser_addresses_are_those_of_the_pattern():
+    rng = random.Random(9)
+    pieces = ["a", "b.c", "@", " ", "(at)", "[at]", " (at) ", "(dot)", " [dot] ", ".", "(", "]", "\n", "é", "-", ",", "9"]
+    for _ in range(6000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        assert [m.span() for m in pii._loose_matches(text, "email")] == [m.span() for m in pii.LOOSE["email"].finditer(text)], text
+        assert [m.span() for m in pii._matches(text.replace("a", "1").replace("b", "22"), "ip")] == [m.span() for m in pii.STRICT["ip"].finditer(text.replace("a", "1").replace("b", "22"))]

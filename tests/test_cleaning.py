@@ -144,3 +144,45 @@ def test_blank_rows_and_profile(raw):
     profile = quality.dataset_profile(raw).orderBy("position").collect()
     assert [r["column"] for r in profile] == schema.RAW.fieldNames()
     assert {r["total_rows"] for r in profile} == {5} and {r["total_columns"] for r in profile} == {21}
+
+
+def jobs_of(spark, work):
+    """Ids of the jobs that a function starts, and its result."""
+    group = f"watched-{id(work)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_watched_counts_are_those_of_a_scan_and_cost_none(spark, raw, tmp_path):
+    from loyalscope.sources import files
+
+    df = cleaning.coerce_number(raw, "TotalCharges").withColumn("od`d. name", F.when(F.col("tenure") > 20, F.lit(float("nan"))))
+    rows, seen = quality.watched(df, "Churn", ["Yes", "No"])
+    copy, writing = jobs_of(spark, lambda: files.snapshot(rows, str(tmp_path / "copy")))
+    _, plain = jobs_of(spark, lambda: files.snapshot(df, str(tmp_path / "plain")))
+    assert writing == plain
+    for of in (quality.null_report, quality.dataset_profile):
+        got, reads = jobs_of(spark, lambda: sorted(map(tuple, of(copy, seen).collect())))  # noqa: B023
+        assert got == sorted(map(tuple, of(copy).collect())) and reads == 0
+    assert seen.rows() == 5 and seen.labels() == {"Yes": 2, "No": 3} and seen.missing()["od`d. name"] == 2
+    report = lambda watch: sorted(map(tuple, quality.intake_report(copy, "Churn", watch).collect()))
+    (got, reads), (want, scans) = jobs_of(spark, lambda: report(seen)), jobs_of(spark, lambda: report(None))
+    assert got == want and reads < scans
+    checks = lambda watch: sorted(map(tuple, quality.validate(copy, "tenure", watch).collect()))
+    assert checks(seen) == checks(None)
+
+
+def test_label_values_not_watched_for_are_counted_by_a_scan(spark, tmp_path):
+    from loyalscope.sources import files
+
+    df = spark.createDataFrame([("Yes", 1), ("perhaps", 2), (None, 3)], "Churn string, k int")
+    rows, seen = quality.watched(df, "Churn", ["Yes", "No"])
+    copy = files.snapshot(rows, str(tmp_path / "copy"))
+    assert seen.labels() is None
+    assert sorted(map(tuple, quality.intake_report(copy, "Churn", seen).collect())) == sorted(map(tuple, quality.intake_report(copy, "Churn").collect()))
+    empty, none = quality.watched(df.where("1 = 0"))
+    files.snapshot(empty, str(tmp_path / "empty"))
+    assert none.rows() == 0 and none.missing() == {"Churn": 0, "k": 0} and quality.null_report(df, none).count() == 0

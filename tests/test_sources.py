@@ -9,7 +9,7 @@ from loyalscope import schema
 from loyalscope.operators import learning, offers, reports, segments
 from loyalscope.plans import churn
 from loyalscope.session import scratch_path, shared_folder
-from loyalscope.sources import artifacts, eventlog, files, tables
+from loyalscope.sources import artifacts, eventlog, files, tables, versions
 
 
 def same_rows(a, b):
@@ -59,6 +59,48 @@ def test_snapshot_is_overwritten(spark, raw, tmp_path):
     assert files.snapshot(raw.limit(2), path).count() == 2
 
 
+def failing(df):
+    """The rows, but for one that fails while it is written."""
+    return df.withColumn("tenure", F.when(F.col("customerID") == "di", F.raise_error(F.lit("lost on the way")).cast("int")).otherwise(F.col("tenure")))
+
+
+def test_a_failed_snapshot_leaves_the_last_one(spark, raw, tmp_path):
+    path = str(tmp_path / "backup")
+    first = files.snapshot(raw.limit(3), path)
+    with pytest.raises(Exception, match="lost on the way"):
+        files.snapshot(failing(raw), path)
+    assert versions.read(spark, path).count() == 3 and len(versions.versions(spark, path)) == 1
+    second = files.snapshot(raw, path)
+    assert (first.count(), second.count(), versions.read(spark, path).count()) == (3, 5, 5)  # who reads the last one may finish
+    files.snapshot(raw.limit(1), path)
+    assert [p.name for p in sorted((tmp_path / "backup").iterdir())] == [v.rsplit("/", 1)[1] for v in versions.versions(spark, path)]
+    assert len(versions.versions(spark, path)) == 1 + versions.KEPT and versions.read(spark, path).count() == 1
+
+
+def test_plain_files_are_their_own_version(spark, raw, tmp_path):
+    path = str(tmp_path / "plain")
+    files.write_parquet(raw, path)
+    assert versions.current(spark, path) == path and versions.read(spark, path).count() == 5
+    assert versions.versions(spark, str(tmp_path / "absent")) == []
+
+
+@pytest.mark.parametrize("placed", [True, False])
+def test_a_failed_replacement_leaves_the_table(spark, raw, tmp_path, placed):
+    name = f"t{uuid.uuid4().hex[:8]}"
+    path = str(tmp_path / "table") if placed else None
+    rows = tables.raw_table_rows(raw)
+    tables.replace_table(rows.limit(3), name, path)
+    before = spark.table(name)
+    with pytest.raises(Exception, match="lost on the way"):
+        tables.replace_table(failing(rows), name, path)
+    assert spark.table(name).count() == 3
+    tables.replace_table(rows, name, path)
+    assert spark.table(name).count() == 5 and before.count() in (3, 5)
+    tables.replace_table(rows.limit(2).select("customerID", "tenure"), name, path)  # other columns
+    assert spark.table(name).columns == ["customerID", "tenure"] and spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
 @pytest.mark.parametrize("fmt, write", [("csv", files.write_csv), ("parquet", files.write_parquet)])
 def test_processed_rows_come_back_typed(spark, featured, tmp_path, fmt, write):
     path = str(tmp_path / "processed")
