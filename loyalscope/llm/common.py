@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pathlib
 import shutil
 import tempfile
@@ -67,6 +68,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
+    """From now on jobs hand at most so many rows and about so many bytes to Python at once, unless the session says less: rows
+    of whole texts are long, and what the JVM and the workers set aside for a batch stays with them."""
+    confs = spark.conf
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(confs.get(name))
+        if now <= 0 or now > spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(most):
+            confs.set(name, most)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -74,6 +85,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def release() -> None:
+    """Give back to the system what the worker has set aside and does not use: it may go on to other work, and not alone."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts in a row, and where each begins (one more entry than texts). Null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -239,6 +258,6 @@ def appended(rows: DataFrame, compute, new: str) -> DataFrame:
         for batch in (whole.slice(first, SLICE) for whole in batches for first in range(0, max(1, whole.num_rows), SLICE)):
             arrays = [pa.array(a, t) if not isinstance(a, pa.Array) else a for a, t in zip(compute(batch), types)]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + arrays, names=[f.name for f in kept] + made.names)
-        pa.default_memory_pool().release_unused()  # the worker may go on to other work
+        release()
 
     return rows.mapInArrow(run, StructType(kept + list(made.fields)))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loyalscope.llm.common import NOT_SPACE, Words, components, groups, mix, small_batches, text_bytes, written
+from loyalscope.llm.common import NOT_SPACE, Words, appended, components, groups, mix, release, small_batches, text_bytes, written
 
 WORDS = 5
 PER_CENT = 80
@@ -78,7 +78,7 @@ def _sets(batches):
         for first, last in groups(starts):
             a, b = starts[first], starts[last]
             yield batch, first, last, shingle_sets(data[a:b], starts[first : last + 1] - a)
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def keys(docs: DataFrame) -> DataFrame:
@@ -342,31 +342,54 @@ def classify(docs: DataFrame, spare: int = SPARE) -> DataFrame:
     sets are one class from the start and are compared as one. An empty table gives no rows; other columns are left behind.
     Shingles are compared by 64-bit hashes.
     """
+    return _classified(docs, spare).select("doc_id", "n_shingles", F.when(_linkable(), F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _linkable() -> Column:
+    return (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+
+
+def _classified(docs: DataFrame, spare: int = SPARE) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, set_key and the first (doc_id, set_key) of its class."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     with small_batches(docs.sparkSession):
         rows = written(keys(docs), "keys")
         linked = links(docs, spare)
     groups_ = components(linked, "classes").select(F.col("node").alias("set_key"), F.col("component").alias("class"))
-    firsts = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first")).join(groups_, "set_key", "left")
+    firsts = rows.where(_linkable()).groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).join(groups_, "set_key", "left")
     firsts = firsts.withColumn("class", F.coalesce("class", "set_key"))
-    smallest = firsts.groupBy("class").agg(F.min("first").alias("component_id"))
-    named = written(firsts.join(smallest, "class").select("set_key", "component_id"), "named")
-    return rows.join(named, "set_key", "left").select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    smallest = firsts.groupBy("class").agg(F.min(F.struct("doc_id", "set_key")).alias("first"))
+    named = written(firsts.join(smallest, "class").select("set_key", "first"), "named")
+    return rows.join(named, "set_key", "left")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is their class's smallest: one document of each class stays, with all its columns.
+    """One row of each class, the first by doc_id and then by its set's key, with all its columns.
 
-    Of rows repeated under one doc_id one stays as well; rows without a doc_id all stay. Texts are not shuffled if the ids
-    that go are few enough to broadcast.
+    Rows without a doc_id or without words all stay. Of equal sets under the class's first id one row stays, whichever. Texts
+    are shuffled only where one id stands on several rows; otherwise the ids that go are joined, by broadcast if they are few.
     """
-    rows = written(classify(docs), "classes").where("doc_id IS NOT NULL")
-    gone = rows.where("doc_id <> component_id").select("doc_id").distinct()
-    twice = rows.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    stay = _without(docs, gone)
-    if twice.limit(1).count():
-        stay = _without(stay, twice).unionByName(docs.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
-    return stay.select(*docs.columns)
+    rows = _classified(docs).where("doc_id IS NOT NULL").withColumn(
+        "stays", ~_linkable() | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.set_key") == F.col("set_key"))))
+    ids = written(rows.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if("stays").alias("stay")).where("rows > 1 OR stay = 0"), "ids")
+    several = ids.where("rows > 1 AND stay > 0").select("doc_id")
+    out = _without(docs, ids.select("doc_id"))
+    if several.limit(1).count():
+        first = written(rows.where("stays AND n_shingles > 0").join(several, "doc_id", "left_semi").select("doc_id", "set_key").distinct(), "firsts")
+        out = out.unionByName(_several(docs.join(several, "doc_id", "left_semi").select(*docs.columns), first))
+    return out.select(*docs.columns)
+
+
+def _several(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """Of rows that share their ids: those without words, and one for each (doc_id, set_key) of `first`."""
+
+    def compute(batch):
+        found = [s for _, _, _, sets in _sets([batch]) for s in sets]
+        return [pa.array([set_key(s) if len(s) else None for s in found], pa.int64())]
+
+    keyed = appended(docs, compute, "_set_key long")
+    one = keyed.join(first.withColumnRenamed("set_key", "_set_key"), ["doc_id", "_set_key"], "left_semi").dropDuplicates(["doc_id", "_set_key"])
+    return keyed.where("_set_key IS NULL").unionByName(one).select(*docs.columns)
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -390,3 +390,11 @@ def test_a_hot_word_is_scored_alike_by_any_number_of_parts(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     one, many = (pitman_yor.score(docs, size).agg(F.sum("score")).first()[0] for size in (pitman_yor.CHUNK_BYTES, 1 << 13))
     assert many == pytest.approx(one, rel=0.003)
+
+
+def test_rows_of_two_texts_under_one_id_are_told_apart(spark):
+    a, b = "one two three four five six seven", "all other words that stand in the second text"
+    rows = [(5, a, "x"), (3, a, "y"), (5, b, "z"), (9, b, "w"), (5, None, "n"), (5, " ", "s"), (None, a, "i"), (7, b, "v"), (7, b, "u")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, set_key string")
+    kept = sorted(((r.doc_id, r.text) for r in jaccard_join.keep_one(frame).collect()), key=repr)
+    assert kept == sorted([(3, a), (5, b), (5, None), (5, " "), (None, a)], key=repr)
