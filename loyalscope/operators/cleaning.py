@@ -23,20 +23,15 @@ def blank_to(df: DataFrame, col: str, constant: float = 0.0) -> DataFrame:
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Fill nulls and NaN of each numeric column with that column's median over the whole frame.
 
-    Columns that cannot be null by their schema are left alone, and with several columns the median
-    is only looked for in those that have gaps.
+    Columns that cannot be null by their schema are left alone, and the median is only looked for in those that have
+    gaps. The frame is read when this is called, unless ``approx``.
     """
     cols = [c for c in cols if df.schema[c].nullable]
     if not cols:
         return df
-    # a scalar that several columns use becomes a column first: one subquery in the plan and not one per use
     values = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
-    if len(cols) > 1:
-        gaps = values.agg(F.struct(*[(F.count_if(F.col(c).isNull()) > 0).alias(c) for c in cols])).scalar()
-        gappy = lambda c: F.when(F.col("_gaps")[c], F.col(c)).alias(c)
-        values = values.withColumn("_gaps", gaps).select(*[gappy(c) for c in cols])
     pairs = F.collect_list(F.struct("feature", "median"))  # one per column
-    middle = medians(values, cols, approx=approx).agg(F.map_from_entries(pairs)).scalar()
+    middle = medians(values, cols, approx=approx, gappy=True).agg(F.map_from_entries(pairs)).scalar()
     filled = {c: F.coalesce(finite(F.col(c).cast("double")), F.col("_middle")[c]) for c in cols}
     return df.withColumn("_middle", middle).withColumns(filled).drop("_middle")
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any, NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -134,7 +136,10 @@ def estimators(features: Sequence[str], train_rows: int, settings: Mapping[str,
 def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str] = MODELS,
                settings: Mapping[str, Mapping[str, Any]] | None = None, seed: int = SEED,
                partitions: int | None = None) -> dict[str, PipelineModel]:
-    """Fit the named learners on one cached, weighted training set.
+    """Fit the named learners side by side on one cached, weighted training set.
+
+    Each has a thread of its own on the driver, which only waits for its jobs, and a scheduler pool of its name where the
+    session schedules fairly; what one learner leaves idle between its many short jobs the others use.
 
     Trees shuffle a block of statistics per partition and level, so a very large set with far more
     partitions than tasks that run at once should be dealt to ``partitions``, by a shuffle, so that the
@@ -146,11 +151,18 @@ def fit_models(train: DataFrame, features: Sequence[str], models: Sequence[str]
     weighted = balanced_weights(train if partitions is None else train.repartition(partitions)).persist()
     try:
         plans = estimators(features, weighted.count(), settings, seed)
-        return {name: _without_summary(plans[name].fit(weighted)) for name in models}
+        with ThreadPoolExecutor(len(models)) as threads:
+            fits = {name: threads.submit(inheritable_thread_target(train.sparkSession)(_fitted), plans[name], weighted, name) for name in models}
+            return {name: fit.result() for name, fit in fits.items()}
     finally:
         weighted.unpersist()
 
 
+def _fitted(plan: Pipeline, rows: DataFrame, pool: str) -> PipelineModel:
+    rows.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+    return _without_summary(plan.fit(rows))
+
+
 def _without_summary(model: PipelineModel) -> PipelineModel:
     """Forget the training summary: it holds the session, which can't go to the tasks once it observes something."""
     for stage in model.stages:

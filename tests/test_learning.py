@@ -178,3 +178,31 @@ def test_scoring_plan_has_no_python(subscribers, training):
     plan = offers.recommend(learning.score(subscribers, training.model))._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
+
+
+def test_learners_are_fitted_side_by_side_with_equal_results(spark, subscribers):
+    import threading
+
+    prepared = learning.prepare(subscribers)
+    alone = {name: learning.fit_models(prepared.rows, prepared.features, [name], SMALL)[name] for name in learning.MODELS}
+    seen = []
+    plain = learning._fitted
+    learning._fitted = lambda *given: seen.append(threading.current_thread().name) or plain(*given)
+    try:
+        together = learning.fit_models(prepared.rows, prepared.features, settings=SMALL)
+    finally:
+        learning._fitted = plain
+    assert list(together) == learning.MODELS and len(set(seen)) == 3
+    for name in learning.MODELS:
+        both = learning.probability(learning.probability(prepared.rows, alone[name], "a"), together[name], "b")
+        assert both.where(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
+
+
+def test_scores_after_something_was_observed(spark, training, subscribers, tmp_path):
+    from loyalscope.operators import quality
+    from loyalscope.sources import files
+
+    rows, seen = quality.watched(subscribers)
+    copy = files.snapshot(rows, str(tmp_path / "copy"))
+    assert seen.rows() == 1500
+    assert all(learning.probability(learning.prepare(copy).rows, m).where("score between 0 and 1").count() == 1500 for m in training.models.values())

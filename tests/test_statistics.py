@@ -64,8 +64,9 @@ def test_quantiles_of_extreme_values(spark, numbers):
 
 
 @pytest.mark.parametrize("partitions", [4, 16])
-def test_no_task_gathers_what_all_partitions_have_seen(spark, partitions):
+def test_no_task_gathers_what_all_partitions_have_seen(spark, monkeypatch, partitions):
     """Rows that one partition sends for counting are bounded by buckets, spread over the tasks, and nothing is raised."""
+    monkeypatch.setattr(q, "ORDERED", -1)  # by counting
     df = spark.range(0, 40_000, 1, partitions).select((F.rand(3) * 1000 + 1).alias("v"))
     plan = q.quantiles(df, ["v"], [0.25, 0.5])._jdf.queryExecution().executedPlan().toString()
     assert "raise_error" not in plan and "percentile" not in plan
@@ -88,7 +89,8 @@ def test_auc_ranges_follow_the_planner(spark):
     assert "percentile" not in plan and "range" in plan
 
 
-def test_quantile_plan_has_no_full_sort(spark):
+def test_quantile_plan_has_no_full_sort(spark, monkeypatch):
+    monkeypatch.setattr(q, "ORDERED", -1)  # by counting
     df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
     plan = q.quantiles(df, ["v"], [0.5])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -305,3 +307,45 @@ def test_quantiles_of_infinities(spark):
     df = spark.createDataFrame([(float("-inf"),), (float("-inf"),), (1.0,), (float("inf"),), (float("inf"),)], "v double")
     row = q.quantiles(df, ["v"], [0.1, 0.5, 0.9]).first()
     assert (row["q10"], row["q50"], row["q90"]) == (float("-inf"), 1.0, float("inf"))
+
+
+def by_numpy(values, probs):
+    return pytest.approx(list(np.quantile(values, probs)), rel=1e-12, abs=1e-300)
+
+
+@pytest.mark.parametrize("change", [{}, {"ORDERED": -1}, {"WIDTH": 0}, {"SKETCH": 8, "WIDTH": 0.01}, {"MERGED": 1}])
+def test_bracketed_quantiles_are_exact_whatever_the_brackets(spark, monkeypatch, change):
+    """Brackets that miss, or are too wide to order, cost a count and change no result."""
+    for name, value in change.items():
+        monkeypatch.setattr(q, name, value)
+    rng = np.random.default_rng(3)
+    columns = {
+        "even": rng.random(20_000), "steep": rng.lognormal(0, 6, 20_000), "tied": rng.integers(0, 4, 20_000).astype(float),
+        "two far ends": np.where(rng.random(20_000) < 0.5, -1e300, 1e300), "almost one": np.where(rng.random(20_000) < 0.999, 7.0, rng.random(20_000)),
+        "rising": np.arange(20_000.0), "signed": rng.normal(0, 1, 20_000) ** 3}
+    df = spark.createDataFrame(pd.DataFrame(columns)).repartition(6)
+    rows = {r["feature"]: r for r in q.quantiles(df, list(columns), PROBS).collect()}
+    for name, values in columns.items():
+        assert [rows[name][q.quantile_name(p)] for p in PROBS] == by_numpy(values, PROBS), name
+
+
+def test_bracketed_quantiles_read_the_rows_twice(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50_000).selectExpr("cast(id as double) as a", "cast(if(id % 10 = 0, null, id * id) as double) as b").mapInArrow(passing, "a double, b double")
+    rows = {r["feature"]: tuple(r)[1:] for r in q.quantiles(df, ["a", "b"], [0.25, 0.5]).collect()}
+    assert read.value == 100_000
+    b = [i * i for i in range(50_000) if i % 10]
+    assert rows == {"a": by_numpy(range(50_000), [0.25, 0.5]), "b": by_numpy(b, [0.25, 0.5])}
+    assert [r["feature"] for r in q.medians(df, ["a", "b"], gappy=True).collect()] == ["b"]
+
+
+def test_bracketed_quantiles_of_few_or_no_values(spark):
+    df = spark.createDataFrame([(1.0, None, -0.0), (None, None, 0.0), (float("nan"), None, 5e-324)], "a double, b double, c double")
+    assert [tuple(r) for r in q.quantiles(df, ["a", "b", "c"], [0.0, 0.5, 1.0]).collect()] == [("a", 1.0, 1.0, 1.0), ("c", 0.0, 0.0, 5e-324)]
+    assert q.quantiles(df.where("1 = 0"), ["a", "b"], [0.5]).count() == 0
