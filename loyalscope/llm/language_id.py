@@ -19,6 +19,7 @@ UNKNOWN = "und"
 SIZES = (2, 3, 4)  # bytes of a subword
 BITS = 15  # 2^15 vectors for each size
 DIMENSIONS = 16
+CEILING = 0.2  # of the rejection threshold: 0.4 with four languages, 0.6 with two
 #: Everything in ASCII that is no letter stands for a word's edge.
 _FORM = FOLD.copy()
 _FORM[[i for i in range(128) if not (65 <= i <= 90 or 97 <= i <= 122)]] = 32
@@ -74,25 +75,29 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def labelled_sample(docs: DataFrame, sample: int, languages: int) -> DataFrame:
-    """About `sample` rows (text, lang), as many of each of the `languages` most frequent languages as there are, or an
-    even share. Rows are picked by a hash of doc_id, so the pick doesn't depend on how the table is laid out."""
-    counts = docs.where("lang IS NOT NULL AND text IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    share = sample / max(1, len(counts))
+LEAST = 20  # rows of a label, as far as it has them, however many labels there are
+
+
+def labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
+    """About `sample` rows (doc_id, text, lang), an even share of every label, but LEAST of each or as many as there are.
+
+    Rows are picked by a hash of doc_id, so the pick doesn't depend on how the table is laid out.
+    """
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
+    counts = known.groupBy("lang").count().collect()  # a row for each label that the model will know
+    share = max(LEAST, sample / max(1, len(counts)))
+    rates = docs.sparkSession.createDataFrame([(r["lang"], share / r["count"]) for r in counts], "lang string, rate double")
     uniform = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit("sample")), 11) / F.lit(2.0**53)
-    chosen = F.lit(False)
-    for row in counts:
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (uniform < F.lit(share / row["count"])))
-    return docs.where("text IS NOT NULL").where(chosen).select("doc_id", "text", "lang")
+    return known.join(rates, "lang").where(uniform < F.col("rate")).select("doc_id", "text", "lang")
 
 
-def train(docs: DataFrame, sample: int = 3000, languages: int = 200, epochs: int = 3, seed: int = 7) -> Model:
-    """Fit a model on a sample of about `sample` of the given labelled documents (doc_id, text, lang).
+def train(docs: DataFrame, sample: int = 3000, epochs: int = 3, seed: int = 7) -> Model:
+    """Fit a model on a sample of about `sample` of the given labelled documents (doc_id, text, lang); every label is learned.
 
     Without labelled rows the model knows no language and every prediction is `und`. One step takes a stretch of some 300
     bytes from somewhere in a text, so short texts are learned as well as long ones.
     """
-    table = labelled_sample(docs, sample, languages).toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    table = labelled_sample(docs, sample).toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
     names = sorted({x for x in table.column("lang").to_pylist()})
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.3, (len(SIZES), (1 << BITS) + 1, DIMENSIONS)).astype(np.float32)
@@ -130,14 +135,16 @@ def train(docs: DataFrame, sample: int = 3000, languages: int = 200, epochs: int
 
 def calibrate(model: Model, data: np.ndarray, starts: np.ndarray, label: np.ndarray, rows: np.ndarray) -> None:
     """The temperature with the best likelihood on rows left out of training, and a threshold below which at most one of
-    a thousand of their right answers falls (never above 0.4, as two languages may share a text)."""
+    a thousand of their right answers falls, but no more than CEILING of the way from chance to certainty: two languages may
+    share a text."""
     logits = np.concatenate([model.logits(data[starts[r] : starts[r + 1]], np.array([0, starts[r + 1] - starts[r]])) for r in rows])
     truth = label[rows]
     loss = lambda t: -np.log(softmax(logits / t)[np.arange(len(rows)), truth] + 1e-12).mean()
     model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
     scores = softmax(logits / model.temperature)
     right = scores.max(axis=1)[scores.argmax(axis=1) == truth]
-    model.threshold = float(min(0.4, 0.9 * np.quantile(right, 0.001))) if len(right) else 0.0
+    chance = 1 / len(model.languages)
+    model.threshold = float(min(chance + CEILING * (1 - chance), 0.9 * np.quantile(right, 0.001))) if len(right) else 0.0
 
 
 def fold(doc_id: Column, folds: int) -> Column:
