@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loyalscope.functions import finite, round_even
@@ -42,8 +47,18 @@ def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.min_by("value", order).alias("top"), F.max("n").alias("freq"))
 
 
+#: So many pairs are aggregated one by one in one plan; more come from one matrix of moments.
+PAIRS = 500
+
+
 def correlations(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
-    """Pearson correlation of every pair, on the rows where both are present; both triangles and the diagonal."""
+    """Pearson correlation of every pair, on the rows where both are present; both triangles and the diagonal.
+
+    Of many columns the rows are read twice when this is called, and the matrix is worked out from moments; a column that does
+    not vary has no correlation then (null).
+    """
+    if len(cols) * (len(cols) + 1) // 2 > PAIRS:
+        return _from_moments(df, cols, digits)
     values = df.select(*[_value(c).alias(c) for c in cols])
     pairs = list(combinations(cols, 2))
     found = values.agg(*[F.round(F.corr(a, b), digits).alias(f"{a}|{b}") for a, b in pairs],
@@ -54,6 +69,47 @@ def correlations(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFra
         *[cell(x, y, f"{a}|{b}") for a, b in pairs for x, y in ((a, b), (b, a))]])
 
 
+def _from_moments(df: DataFrame, cols: Sequence[str], digits: int) -> DataFrame:
+    """The same from one matrix of second moments, however many columns.
+
+    Every row becomes a vector of its standardised values (0 where missing), marks of those present, and squares of the values.
+    The products of these vectors, summed over all rows, hold what every pair needs: rows with both, and the sums, squares and
+    products on those. What the driver gets is three times the columns, squared.
+    """
+    k = len(cols)
+    values = df.select(*[_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    first = values.agg(F.count("*").alias("n"), *[f(f"v{i}").alias(f"{name}{i}") for i in range(k) for name, f in (("c", F.count), ("m", F.avg), ("s", F.stddev_samp))]).first()
+    n = first["n"]
+    count = np.array([first[f"c{i}"] for i in range(k)], float)
+    spread = [first[f"s{i}"] or 0.0 for i in range(k)]
+    moving = np.array([math.isfinite(s) and s > 0 for s in spread])
+    scaled = [F.coalesce((F.col(f"v{i}") - first[f"m{i}"]) / spread[i], F.lit(0.0)) if moving[i] else F.lit(0.0) for i in range(k)]
+    present = [F.col(f"v{i}").isNotNull().cast("double") for i in range(k)]
+    if n < 2:
+        second = np.zeros((3 * k, 3 * k))
+    else:
+        rows = values.select(*[x.alias(f"x{i}") for i, x in enumerate(scaled)], *[x.alias(f"p{i}") for i, x in enumerate(present)])
+        parts = [F.col(f"x{i}") for i in range(k)] + [F.col(f"p{i}") for i in range(k)] + [F.col(f"x{i}") * F.col(f"x{i}") for i in range(k)]
+        vectors = MLUtils.convertVectorColumnsFromML(rows.select(array_to_vector(F.array(*parts)).alias("z")), "z")
+        # the sums of the vectors' parts are known: 0, the counts, and the counts less one
+        mean = np.concatenate([np.zeros(k), count, np.where(moving, np.maximum(count - 1, 0), 0)]) / n
+        second = (n - 1) * RowMatrix(vectors).computeCovariance().toArray() + n * np.outer(mean, mean)
+    both, sums, squares, products = second[k : 2 * k, k : 2 * k], second[:k, k : 2 * k], second[2 * k :, k : 2 * k], second[:k, :k]
+    out = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            m = round(both[i, j])
+            if m < 2:
+                out.append((a, b, None))
+                continue
+            x, y = squares[i, j] - sums[i, j] ** 2 / m, squares[j, i] - sums[j, i] ** 2 / m
+            flat = x <= 1e-12 * squares[i, j] or y <= 1e-12 * squares[j, i] or not (moving[i] and moving[j])
+            r = None if flat else (products[i, j] - sums[i, j] * sums[j, i] / m) / math.sqrt(x * y)
+            out.append((a, b, None if r is None else float(r)))
+    found = df.sparkSession.createDataFrame(out, "feature_a string, feature_b string, correlation double")
+    return found.withColumn("correlation", F.round(F.when(F.abs("correlation") > 1, F.signum("correlation")).otherwise(F.col("correlation")), digits))
+
+
 def label_correlations(df: DataFrame, cols: Sequence[str], label: str, digits: int = 4) -> DataFrame:
     """Correlation of each feature with the label, smallest first."""
     values = df.select(*[_value(c).alias(c) for c in [*cols, label]])

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -349,3 +351,31 @@ def test_bracketed_quantiles_of_few_or_no_values(spark):
     df = spark.createDataFrame([(1.0, None, -0.0), (None, None, 0.0), (float("nan"), None, 5e-324)], "a double, b double, c double")
     assert [tuple(r) for r in q.quantiles(df, ["a", "b", "c"], [0.0, 0.5, 1.0]).collect()] == [("a", 1.0, 1.0, 1.0), ("c", 0.0, 0.0, 5e-324)]
     assert q.quantiles(df.where("1 = 0"), ["a", "b"], [0.5]).count() == 0
+
+
+def test_correlations_of_many_columns_come_from_one_matrix(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = rng.normal(1000, 3, (3000, 1))
+    frame = pd.DataFrame(np.hstack([base + rng.normal(0, s, (3000, 12)) for s in (0.1, 2, 30)]), columns=[f"c{i}" for i in range(36)])
+    frame = frame.mask(rng.random(frame.shape) < 0.2)
+    frame["c3"], frame.loc[5:, "c4"], frame["c5"] = 7.0, np.nan, np.nan
+    df = spark.createDataFrame(frame).repartition(5)
+    cols = list(frame.columns)
+    rows = lambda cols: {(r["feature_a"], r["feature_b"]): r["correlation"] for r in distributions.correlations(df, cols).collect()}
+    matrix = rows(cols)
+    assert len(matrix) == 36 * 36 and all(matrix["c3", c] is None and matrix[c, "c3"] is None for c in cols)
+    monkeypatch.setattr(distributions, "PAIRS", 10**6)
+    plain = rows([c for c in cols if c != "c3"])  # one by one a column that does not vary is an error
+    assert len(plain) == 35 * 35
+    for pair, r in plain.items():
+        known = r is not None and not math.isnan(r)
+        assert (matrix[pair] == pytest.approx(r, abs=2e-4)) if known else (matrix[pair] is None or math.isnan(matrix[pair])), pair
+
+
+def test_correlations_of_two_hundred_columns(spark):
+    df = spark.range(400).select(*[(F.sin(F.col("id") * (i + 1)) + F.col("id") / 100).alias(f"c{i}") for i in range(200)])
+    rows = distributions.correlations(df, df.columns)
+    assert rows.count() == 40_000 and rows.where("feature_a = feature_b and correlation <> 1").count() == 0
+    frame = df.toPandas().corr()
+    got = rows.toPandas().pivot(index="feature_a", columns="feature_b", values="correlation").loc[frame.index, frame.columns]
+    assert np.abs(got.to_numpy() - frame.to_numpy()).max() < 1e-4
