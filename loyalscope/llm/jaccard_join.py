@@ -309,7 +309,7 @@ def keys_and_sets(docs: DataFrame, members: DataFrame | None) -> DataFrame:
     """Rows (x, hashes): of the members alone, if they are given (then they are few enough to broadcast)."""
     chosen = None
     if members is not None:
-        ids = np.sort(np.array([r[0] for r in members.collect()], dtype=np.int64))
+        ids = np.sort(members.toArrow().column(0).to_numpy())
         chosen = docs.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches):

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyalscope.llm.common import FOLD, appended, groups, text_bytes
+from loyalscope.llm.common import FOLD, appended, groups, release, text_bytes
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)  # bytes of a subword
@@ -130,6 +130,8 @@ def train(docs: DataFrame, sample: int = 3000, epochs: int = 3, seed: int = 7) -
         for s, x in enumerate(numbers):
             np.subtract.at(vectors[s], x, back.astype(np.float32))
     calibrate(model, data, starts, label, held if len(held) else fit)
+    del table, data
+    release()
     return model
 
 
