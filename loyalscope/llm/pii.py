@@ -3,6 +3,7 @@
 Four kinds have a strict pattern each; what these accept is always found. The generators propose looser spans that may
 overlap; trees, one model a kind, learn from strict hits rewritten into looser forms, in their own contexts, what such data looks
 like by format and context, and add the looser spans that reach a threshold with the precision asked for on held-out candidates.
+All documents give examples; the trees grow from counts of all of them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyalscope.llm import boosting
@@ -197,8 +198,10 @@ class Detector:
         return sorted(out, key=_order)
 
 
-#: Texts that may hold a strict span of a kind. Every loose form of an address has a strict one inside, so none is learned.
-_ROUGH = {"email": "@", "card": "[0-9]([ -]?[0-9]){13}", "phone": "[+][0-9]"}
+#: Kinds that are learned. Every loose form of an address has a strict one inside, so none is learned.
+LEARNED = ("email", "card", "phone")
+#: Texts without any of this have neither a strict nor a looser span.
+_ANY = r"[0-9@]|[(\[]at[)\]]"
 _AT, _DOT = re.compile(r" ?(?:\(at\)|\[at\]|@) ?"), re.compile(r" ?(?:\(dot\)|\[dot\]) ?")
 
 
@@ -230,17 +233,16 @@ def _unsure(text: str, kind: str, start: int, end: int) -> bool:
     return kind == "phone" and 10 <= len(digits) <= 15 and (span[:2] in ("00", "+0") or "(" in span or bool(features(text, kind, start, end)[FEATURES.index("cue")]))
 
 
-def examples(text: str, general: bool, kinds: tuple[str, ...]) -> list[tuple[str, list[float], bool]]:
-    """(kind, features, whether personal data): the looser spans of the text itself, which count as none (`general`), and those
-    about its strict spans of `kinds`, rewritten where they stand."""
+def examples(text: str) -> list[tuple[str, list[float], bool]]:
+    """(kind, features, whether personal data): the looser spans of the text itself, which count as none, and those about its
+    strict spans, rewritten where they stand. A number of one kind is none of another."""
     strict = strict_spans(text)
     out = []
-    if general:
-        for kind in _ROUGH:
-            out += [(kind, features(text, kind, a, b), False) for a, b in proposals(text, kind)
-                    if not any(a < y and x < b for x, y, _ in strict) and not _unsure(text, kind, a, b)]
+    for kind in LEARNED:
+        out += [(kind, features(text, kind, a, b), False) for a, b in proposals(text, kind)
+                if not any(a < y and x < b for x, y, _ in strict) and not _unsure(text, kind, a, b)]
     for a, b, kind in strict:
-        if kind not in kinds:
+        if kind not in LEARNED:
             continue
         cue = bool(features(text, kind, a, b)[FEATURES.index("cue")])
         before, after = text[max(0, a - 60) : a], text[b : b + 20]
@@ -251,61 +253,177 @@ def examples(text: str, general: bool, kinds: tuple[str, ...]) -> list[tuple[str
                 if x < end and start < y and not any(x < q and p < y for p, q, _ in taken):
                     whole = x == start and y >= end and not new[end:y].strip(".!?'")
                     out.append((kind, features(new, kind, x, y), right and whole))
+            other = {"card": "phone", "phone": "card"}.get(kind)
+            out += [(other, features(new, other, x, y), False) for x, y in (proposals(new, other) if other else [])
+                    if x < end and start < y and not any(x < q and p < y for p, q, _ in taken)]
     return out
 
 
-def candidates(docs: DataFrame, sample: int) -> DataFrame:
-    """Rows (doc_id, kind, x, y): features of the examples in about `sample` documents that hold a digit or an @, and in as many
-    for each kind that may hold a strict span of it, picked by a hash of doc_id; y is whether one is personal data."""
-    tests = {"any": "[0-9@]", **_ROUGH}
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col("text").rlike(t).alias(f"_{k}") for k, t in tests.items()))
-    total = some.agg(*(F.count_if(f"_{k}").alias(k) for k in tests)).first()
-    uniform = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit("pii")), 11) / F.lit(2.0**53)
-    picked = some.select("doc_id", "text", *((F.col(f"_{k}") & (uniform < F.lit(sample / max(1, total[k])))).alias(f"_{k}") for k in tests))
+def _counter(schema: str, of):
+    """For mapInArrow: the sums of n and good over rows that of(batch) makes alike, (key, n, good) by (key, n, good), batch by batch."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
         for batch in batches:
-            ids, rows = [], []
-            flags = [batch.column(f"_{k}").to_pylist() for k in tests]
-            for doc, text, general, *which in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), *flags):
-                found = examples(text, general, tuple(k for k, w in zip(_ROUGH, which) if w))
-                ids += [doc] * len(found)
-                rows += found
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([r[0] for r in rows], pa.string()), pa.array([list(map(float, r[1])) for r in rows], pa.list_(pa.float64())), pa.array([r[2] for r in rows], pa.bool_())], names=["doc_id", "kind", "x", "y"])
+            sums: dict[tuple, list[int]] = {}
+            for key, n, good in of(batch):
+                have = sums.setdefault(key, [0, 0])
+                have[0] += n
+                have[1] += good
+            rows = [(*key, *both) for key, both in sums.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], schema=arrow)
+        release()
+
+    return run
+
+
+def _summed(rows: DataFrame, schema: str, of) -> DataFrame:
+    keys = [c.split()[0] for c in schema.split(", ")]
+    return rows.mapInArrow(_counter(f"{schema}, n long, good long", of), f"{schema}, n long, good long").groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("good").alias("good"))
+
+
+def _columns(batch, *names: str) -> list[list]:
+    return [batch.column(name).to_pylist() for name in names]
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """Rows (kind, held, x, n, good): the different features, as integers in a row, of the examples of all documents, how many there
+    are of each and how many of these are personal data; held: those of every third document, by a hash of doc_id."""
+    held = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("held")), F.lit(3)) == 0
+
+    def counted(batch):
+        for text, held in zip(*_columns(batch, "text", "held")):
+            for kind, x, right in examples(text):
+                yield (kind, held, np.array(x, "<i4").tobytes()), 1, int(right)
+
+    some = docs.where(F.col("text").rlike(_ANY)).select("text", held.alias("held"))
+    return _summed(some, "kind string, held boolean, x binary", counted)
+
+
+def _matrix(values: list[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(values), kind).reshape(len(values), len(FEATURES))
+
 
-    return picked.where(" or ".join(f"_{k}" for k in tests)).mapInArrow(run, "doc_id long, kind string, x array<double>, y boolean")
+def _cuts(rows: DataFrame) -> dict[str, list[np.ndarray]]:
+    """The quantiles of each feature of each kind at 32 even shares, from counts of all its values."""
+    def values(batch):
+        for kind, x, n in zip(*_columns(batch, "kind", "x", "n")):
+            for f, value in enumerate(np.frombuffer(x, "<i4").tolist()):
+                yield (kind, f, value), n, 0
 
+    by = Window.partitionBy("kind", "feature")
+    upto = F.sum("n").over(by.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = _summed(rows, "kind string, feature int, value int", values).withColumns({"upto": upto, "last": F.sum("n").over(by) - 1})
+    # of the places floor(j * last / 32), j < 32, the first that is not before this value is a row of it
+    j = F.expr(f"least((({boosting.CUTS} * (upto - n) + greatest(last, 1) - 1) div greatest(last, 1)), {boosting.CUTS})")
+    kept = found.where((j < boosting.CUTS) & (F.floor(j * F.col("last") / boosting.CUTS) < F.col("upto")))
+    cuts = {kind: [[] for _ in FEATURES] for kind in LEARNED}
+    for row in kept.select("kind", "feature", "value").orderBy("kind", "feature", "value").collect():
+        cuts[row.kind][row.feature].append(row.value)
+    return {kind: [np.array(c, np.int64) for c in several] for kind, several in cuts.items()}
 
-def train(docs: DataFrame, sample: int = 1500, most: int = 30_000, precision: float = 0.995) -> Detector:
-    """Fit the trees on the examples of about `sample` documents a kind, at most `most` of them a kind, by a hash order.
 
-    The threshold of a kind is the least score from which on at least `precision` of the held-out examples (those of every third
-    document) are right; with fewer than 20 right ones held out, nothing but strict spans counts for the kind.
+#: Different rows of bins, without held-out ones, up to which the trees grow on the driver (24 bytes each) rather than by jobs.
+FEW = 100_000
+
+
+def _spread(rows: DataFrame):
+    """The measure for boosting.grown() by a job over all rows (kind, b, n, good); sums of each cell come back."""
+    def measure(models, trees, nodes):
+        size = {kind: (3, len(several), len(FEATURES), boosting.CUTS + 1) for kind, several in nodes.items()}
+
+        def run(batches):
+            sums = {kind: np.zeros(shape, np.int64) for kind, shape in size.items()}
+            for batch in batches:
+                kinds = np.array(batch.column("kind").to_pylist(), object)
+                b = _matrix(batch.column("b").to_pylist(), np.uint8)
+                n, good = (batch.column(c).to_numpy() for c in ("n", "good"))
+                for kind in sums:
+                    on = kinds == kind
+                    if on.any():
+                        sums[kind] += boosting.histograms(b[on], n[on], good[on], models[kind].margin(b[on]), trees[kind], nodes[kind])
+            for kind, s in sums.items():
+                cell = np.flatnonzero(s)
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(cell), pa.string()), pa.array(cell, pa.int64()), pa.array(s.ravel()[cell], pa.int64())], names=["kind", "cell", "n"])
+            release()
+
+        out = {kind: np.zeros(shape, np.int64) for kind, shape in size.items()}
+        found = rows.where(F.col("kind").isin(list(nodes))).mapInArrow(run, "kind string, cell long, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n")).toArrow()
+        for kind, cell, n in zip(*_columns(found, "kind", "cell", "n")):
+            out[kind].flat[cell] = n
+        return out
+
+    return measure
+
+
+#: Steps of a score: the thresholds tried.
+STEPS = 1 << 16
+
+
+def train(docs: DataFrame, precision: float = 0.995) -> Detector:
+    """Fit the trees on the examples of all documents, those of every third one held out.
+
+    Examples are counted by their features, then by bins of these. The threshold of a kind is the least score, in steps of 1 / 65,536,
+    from which on at least `precision` of the held-out examples are right; with fewer than 20 right ones held out, nothing but
+    strict spans counts for the kind.
     """
-    rows = written(candidates(docs, sample), "examples")
-    detector = Detector({}, {})
-    for kind in _ROUGH:
-        part = rows.where(F.col("kind") == kind).withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(3)) == 0)
-        part = part.orderBy(F.xxhash64("doc_id", "x"), "doc_id", "x", "y").limit(most).toArrow()
-        x = part.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
-        y = part.column("y").to_numpy().astype(np.float64) if len(x) else np.zeros(0)
-        held = part.column("held").to_numpy().astype(bool) if len(x) else np.zeros(0, dtype=bool)
-        detector.models[kind] = boosting.fit(x[~held], y[~held])
-        detector.thresholds[kind] = _threshold(detector.models[kind].probability(x[held]), y[held], precision)
-        del part
-        release()
+    counted = written(candidates(docs), "examples")
+    cuts = _cuts(counted.where("not held"))
+
+    def bins(batch):
+        for kind, held, x, n, good in zip(*_columns(batch, "kind", "held", "x", "n", "good")):
+            at = [int(np.searchsorted(c, v)) for c, v in zip(cuts[kind], np.frombuffer(x, "<i4").tolist())]
+            yield (kind, held, bytes(at)), n, good
+
+    rows = written(_summed(counted, "kind string, held boolean, b binary", bins), "bins")
+    learned = rows.where("not held").select("kind", "b", "n", "good")
+    start = {kind: (0, 0) for kind in LEARNED}
+    several = 0
+    for r in learned.groupBy("kind").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), F.sum("good").alias("good")).collect():
+        start[r.kind] = (r.n, r.good)
+        several += r.rows
+    models = boosting.grown(start, _here(learned) if several <= FEW else _spread(learned))
+
+    def steps(batch):
+        kinds = np.array(batch.column("kind").to_pylist(), object)
+        b = _matrix(batch.column("b").to_pylist(), np.uint8)
+        n, good = (batch.column(c).to_numpy() for c in ("n", "good"))
+        for kind, model in models.items():
+            on = np.flatnonzero(kinds == kind)
+            for step, i in zip(np.floor(model.probability(b[on]) * STEPS).astype(int).tolist() if len(on) else [], on.tolist()):
+                yield (kind, max(step, STEPS // 2 - 1)), int(n[i]), int(good[i])
+
+    held = _summed(rows.where("held"), "kind string, step int", steps).orderBy("kind", F.desc("step")).collect()
+    detector = Detector({kind: boosting.valued(model, cuts[kind]) for kind, model in models.items()}, {})
+    for kind in LEARNED:
+        detector.thresholds[kind] = _threshold([(r.step, r.n, r.good) for r in held if r.kind == kind], precision)
+    release()
     return detector
 
 
-def _threshold(score: np.ndarray, right: np.ndarray, precision: float) -> float:
-    if right.sum() < 20:
+def _here(rows: DataFrame):
+    """The measure for rows few enough for the driver."""
+    table = rows.toArrow()
+    kinds = np.array(table.column("kind").to_pylist(), object)
+    b = _matrix(table.column("b").to_pylist(), np.uint8)
+    n, good = (table.column(c).to_numpy() for c in ("n", "good"))
+    return boosting.measured({kind: (b[kinds == kind], n[kinds == kind], good[kinds == kind]) for kind in LEARNED})
+
+
+def _threshold(steps: list[tuple[int, int, int]], precision: float) -> float:
+    """From (step, examples, right ones), the largest step first; steps below a probability of one half are one, which is none."""
+    if sum(good for _, _, good in steps) < 20:
         return 2.0
-    order = np.argsort(-score, kind="stable")
-    share = right[order].cumsum() / np.arange(1, len(order) + 1)
-    score = score[order]
-    ends = np.append(score[1:] < score[:-1], True)  # equal scores are taken together
-    good = np.flatnonzero((share >= precision) & ends)
-    return float(max(0.5, score[good[-1]])) if len(good) else 2.0
+    least, n, right = 2.0, 0, 0
+    for step, some, good in steps:
+        n, right = n + some, right + good
+        if 2 * step >= STEPS and right >= precision * n:
+            least = step / STEPS
+    return least
 
 
 def listed(spans: list[tuple[int, int, str]]) -> str:

@@ -346,3 +346,29 @@ def test_looser_addresses_are_those_of_the_pattern():
         text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
         assert [m.span() for m in pii._loose_matches(text, "email")] == [m.span() for m in pii.LOOSE["email"].finditer(text)], text
         assert [m.span() for m in pii._matches(text.replace("a", "1").replace("b", "22"), "ip")] == [m.span() for m in pii.STRICT["ip"].finditer(text.replace("a", "1").replace("b", "22"))]
+
+
+def test_all_documents_give_examples_and_the_same_trees_near_and_far(spark, monkeypatch):
+    from loyalscope.llm import boosting
+
+    texts = [f"call 00{i:04d}-555-{i % 977:04d} or +1 555 {i:07d}, write to a{i} (at) b.c or a{i}@b.example.org" for i in range(4000)] + ["a (at) b", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    every = [kind for t in texts for kind, _, _ in pii.examples(t or "")]
+    counted = {r.kind: r.n for r in pii.candidates(docs).groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    assert counted == {kind: every.count(kind) for kind in set(every)}
+    seen = []
+    grown = boosting.grown
+    monkeypatch.setattr(boosting, "grown", lambda start, *rest, **named: seen.append(start) or grown(start, *rest, **{**named, "trees": 3}))
+    near = pii.train(docs)
+    monkeypatch.setattr(pii, "FEW", 0)
+    assert pii.train(docs) == near
+    assert sum(n for n, _ in seen[0].values()) > 0.6 * len(every)
+
+
+def test_cuts_are_the_quantiles_of_all_rows(spark):
+    rng = np.random.default_rng(5)
+    for size, top in ((1, 3), (20, 4), (33, 1000), (2000, 300), (500, 2)):
+        x = rng.integers(0, top, (size, len(pii.FEATURES)))
+        rows = spark.createDataFrame([("card", bytearray(r.astype("<i4").tobytes()), 1, 0) for r in x], "kind string, x binary, n long, good long")
+        for f, cut in enumerate(pii._cuts(rows)["card"]):
+            assert cut.tolist() == np.unique(np.quantile(x[:, f], np.linspace(0, 1, 33)[:-1], method="lower")).tolist()
