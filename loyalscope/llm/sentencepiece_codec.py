@@ -25,10 +25,10 @@ from loyalscope.llm.common import appended, groups, release, text_bytes
 
 SPACE = "▁"
 #: Words in the younger of two generations of known ones; when it is full it becomes the older one, which is forgotten then.
-REMEMBERED = 150_000
+REMEMBERED = 80_000
 LONGEST = 64  # letters of a word that is remembered
 PAIRS = 400_000  # tests of pairs that a worker keeps
-TEXT_BYTES = 2 << 20  # text whose words are worked out together
+TEXT_BYTES = 1 << 19  # text whose words are worked out together; a worker holds them and their ids at once
 #: Runs of spaces with the characters behind them; no piece joins a character and a space behind it. A line break stands alone.
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 

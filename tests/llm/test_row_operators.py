@@ -372,3 +372,23 @@ def test_cuts_are_the_quantiles_of_all_rows(spark):
         rows = spark.createDataFrame([("card", bytearray(r.astype("<i4").tobytes()), 1, 0) for r in x], "kind string, x binary, n long, good long")
         for f, cut in enumerate(pii._cuts(rows)["card"]):
             assert cut.tolist() == np.unique(np.quantile(x[:, f], np.linspace(0, 1, 33)[:-1], method="lower")).tolist()
+
+
+def test_a_worker_holds_the_words_of_little_text_at_once(codec, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+    from loyalscope.llm.common import groups, text_bytes
+
+    monkeypatch.setattr(codec, "young", {})
+    monkeypatch.setattr(codec, "old", {})
+    rng = __import__("random").Random(4)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(15_000)) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        for first, last in groups(text_bytes(batch.column("text"))[1], sentencepiece_codec.TEXT_BYTES):
+            sentencepiece_codec._digested(codec, batch.slice(first, last - first), sentencepiece_codec.OUT)
+        assert tracemalloc.get_traced_memory()[1] < 250 << 20
+    finally:
+        tracemalloc.stop()
