@@ -57,7 +57,8 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = (), label: str = "label", sco
     beaten = F.coalesce(F.sum("neg").over(inside), F.lit(0)) + F.col("neg") / 2
     ranges = ties.withColumn("won", F.col("pos") * beaten).groupBy(*by, "range").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won"))
-    earlier = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    every = [F.col("range") < 0]  # a partition for the ranges, a few rows, of a single model
+    earlier = Window.partitionBy(*(by or every)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.col("pos").cast("double") * F.coalesce(F.sum("neg").over(earlier), F.lit(0))
     area = F.try_divide(F.sum("won"), F.sum("pos").cast("double") * F.sum("neg"))
     return ranges.withColumn("won", F.col("won") + carried).groupBy(*by).agg(
