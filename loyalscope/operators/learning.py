@@ -26,7 +26,8 @@ HOLDOUT = 0.2
 WEIGHT = "weight"
 
 # The learners' settings
-FOREST = {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 5}
+# a row keeps its node in each tree, so that no level goes down from the root again: the same trees in less time
+FOREST = {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 5, "cacheNodeIds": True}
 BOOSTING = {"maxIter": 150, "maxDepth": 4, "stepSize": 0.08, "checkpointInterval": 10}
 LOGISTIC = {"C": 0.5, "maxIter": 1000}
 MODELS = ["RandomForest", "GradientBoosting", "LogisticRegression"]

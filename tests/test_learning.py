@@ -115,6 +115,17 @@ def test_default_settings():
     assert not boosting.isDefined("weightCol") and forest.getWeightCol() == "weight"
 
 
+def test_forest_does_not_go_down_from_the_root_at_every_level(subscribers):
+    prepared = learning.prepare(subscribers)
+    assert learning.estimators(prepared.features, 100)["RandomForest"].getStages()[-1].getCacheNodeIds()
+    trees = []
+    for kept in (True, False):
+        settings = {"RandomForest": {"numTrees": 15, "cacheNodeIds": kept}}
+        forest = learning.fit_models(prepared.rows, prepared.features, ["RandomForest"], settings)["RandomForest"].stages[-1]
+        trees.append([t.toDebugString.split("\n", 1)[1] for t in forest.trees])
+    assert trees[0] == trees[1] and len(trees[0]) == 15
+
+
 def test_batch_scores(subscribers, training):
     scored = learning.score(subscribers, training.model)
     assert scored.columns == [*subscribers.columns, "ChurnProbability", "WillChurn_Predicted", "ChurnRisk"]
