@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,9 +60,15 @@ def cleanup(spark: SparkSession, start: int = 0, keep: Sequence[str] = ()) -> No
     Frames that read them can't be used any more.
     """
     for path in [p for p in _WRITTEN[start:] if p not in keep]:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove one written table, or a folder of it."""
+    if path in _WRITTEN:
         _WRITTEN.remove(path)
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written_so_far() -> int:
@@ -94,6 +101,26 @@ def written(table: DataFrame, name: str = "table") -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs run in here remove their shuffle files as they end: for steps whose results are written and read again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def written_apart(table: DataFrame, name: str, column: str) -> str:
+    """As `written`, with a folder for each value of a column; gives the path. `remove` may take a folder that no step reads any more."""
+    path = scratch_path(table.sparkSession, name)
+    table.write.partitionBy(column).parquet(path)
+    _WRITTEN.append(path)
+    return path
+
+
 def measured(table: DataFrame) -> DataFrame:
     """Write a per-group table that will be joined back to the rows it came from.
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loyalscope.llm import common, embedding_join, jaccard_join, pitman_yor, queries, suffix_dedup
+from loyalscope.session import shared_folder
 from odd_rows import odd, nothing, documents  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
@@ -392,6 +394,35 @@ def test_a_hot_word_is_scored_alike_by_any_number_of_parts(spark):
     assert many == pytest.approx(one, rel=0.003)
 
 
+def test_scores_leave_little_on_disk(spark):
+    """Neither shuffle files nor tables that no later step reads stay; words are named once a chunk, not in every bundle."""
+    def taken():
+        env = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(p.stat().st_size for top in [shared_folder(spark).removeprefix("file:"), *(d.getPath() for d in env.localDirs())] for p in pathlib.Path(top).rglob("*") if p.is_file() and (p.suffix == ".parquet" or p.name.startswith("shuffle_")))
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    size, before = docs.agg(F.sum(F.octet_length("text"))).first()[0], taken()
+    rows = pitman_yor.score(docs, size // 6)  # every step but the last
+    assert taken() - before < 1.2 * size
+    assert rows.count() == docs.count()
+
+
+@pytest.mark.parametrize("n", [50, 3 << 20])
+def test_trigrams_survive_bundles(n):
+    rng = np.random.default_rng(n)
+    given = [np.minimum(rng.pareto(0.5, 3000).astype(np.int64), n - 1) for _ in range(3)]
+    v, x, w, number = pitman_yor.trigrams(*given, n, n)
+    assert all((a[number] == b).all() for a, b in zip((v, x, w), given))
+    assert sorted(set(zip(*given))) == list(zip(v.tolist(), x.tolist(), w.tolist()))
+    several = [pitman_yor._opened(pitman_yor._bundle(**pitman_yor._folded(v[a:b], x[a:b], w[a:b]))) for a, b in ((0, 1), (1, 700), (700, len(v)))]
+    *back, parent, leaf = pitman_yor._unfolded(several)
+    assert all((a == b).all() for a, b in zip(back, (v, x, w)))
+    assert set(np.flatnonzero(parent)) >= set(np.flatnonzero(np.diff(v, prepend=-1))) and (leaf | ~parent).all()
+    odd = {"a": np.array([-5, 1 << 40]), "b": np.zeros(0), "c": np.array([0.25, -3]), "d": np.array([True, False])}
+    again = pitman_yor._opened(pitman_yor._bundle(**odd))
+    assert all((again[k] == odd[k]).all() and len(again[k]) == len(odd[k]) for k in odd)
+
+
 def test_rows_of_two_texts_under_one_id_are_told_apart(spark):
     a, b = "one two three four five six seven", "all other words that stand in the second text"
     rows = [(5, a, "x"), (3, a, "y"), (5, b, "z"), (9, b, "w"), (5, None, "n"), (5, " ", "s"), (None, a, "i"), (7, b, "v"), (7, b, "u")]
